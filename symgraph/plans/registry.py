@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symgraph.plans import general
+from symgraph.plans import general, graph, graph_sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(general.QUERIES)
+    return graph.QUERIES | general.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(general.ORACLE)
+    return graph_sql.ORACLE | general.ORACLE
