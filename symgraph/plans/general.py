@@ -160,6 +160,17 @@ firsts as (select project_path, commit_hash, min(loaded_at) as t from git_change
 ranked as (select f.project_path, f.commit_hash, o.run_id, row_number() over (partition by f.project_path, f.commit_hash order by o.started_at, o.run_id) as _r from firsts f join ok o on o.project_path = f.project_path and o.started_at >= f.t),
 claims as (select * from ranked where _r = 1)"""
 
+_DOCS = """docs as (select doc_seq, body from index_docs where body is not null and json_valid(body)),
+objects as (select doc_seq, upper(trim(json_extract_string(body, '$.ID'), ' \t')) as symbol_id, body from docs where json_type(body) = 'OBJECT')"""
+_ELEMENTS = _DOCS + """, lists as (select doc_seq, symbol_id, body, json_type(body, '$.{field}') as rt from objects where symbol_id is not null),
+elements as (select doc_seq, symbol_id, i as pos, json_extract(body, '$.{field}[' || i || ']') as e from (select doc_seq, symbol_id, body, unnest(range(cast(json_array_length(body, '$.{field}') as bigint))) as i from lists where rt = 'ARRAY') x
+ union all select doc_seq, symbol_id, 0, json_extract(body, '$.{field}') from lists where rt = 'OBJECT')"""
+
+
+def _place_sql(of: str, at: str, name: str) -> str:
+    return ", ".join(f"json_extract_string({of}, '$.{at}.{p}') as {name}_{n}" for p, n in [("FileURI", "file_uri"), ("Start.Line", "start_line"), ("Start.Column", "start_column"), ("End.Line", "end_line"), ("End.Column", "end_column")])
+
+
 ORACLE = {
     "p1_found": f"with {_ORPHANS} select src_table, ref_field, row_id, strftime(t, '%Y-%m') as month_key from orphans",
     "p1_report": f"""with {_ORPHANS}, firsts as (select k, min(f) as first_at from lives group by k)
@@ -170,9 +181,13 @@ ORACLE = {
     "p3_found": f"""with {_CLAIMS}, paths as (select project_path, commit_hash, unnest(added) as path from git_changes union select project_path, commit_hash, unnest(modified) from git_changes)
         select distinct c.run_id, p.path from claims c join paths p on p.project_path = c.project_path and p.commit_hash = c.commit_hash where p.path is not null and p.path <> ''""",
     "p3_unclaimed": f"with {_CLAIMS} select f.project_path, f.commit_hash from firsts f left join claims c on c.project_path = f.project_path and c.commit_hash = f.commit_hash where c.run_id is null",
-    "p4_found": """with docs as (select doc_seq, body from index_docs where body is not null and json_valid(body)),
-        objects as (select doc_seq, upper(trim(json_extract_string(body, '$.ID'), ' \t')) as symbol_id, body, json_type(body, '$.References') as rt from docs where json_type(body) = 'OBJECT' and json_extract_string(body, '$.ID') is not null),
-        elements as (select doc_seq, symbol_id, i as ref_pos, json_extract(body, '$.References[' || i || ']') as e from (select doc_seq, symbol_id, body, unnest(range(cast(json_array_length(body, '$.References') as bigint))) as i from objects where rt = 'ARRAY')
-          union all select doc_seq, symbol_id, 0, json_extract(body, '$.References') from objects where rt = 'OBJECT')
-        select doc_seq, ref_pos, symbol_id from elements where json_type(e) = 'OBJECT' and json_type(e, '$.Location') = 'OBJECT' and json_type(e, '$.Kind') is not null and json_type(e, '$.Kind') <> 'NULL'""",
+    "p4_found": f"""with {_ELEMENTS.format(field='References')}
+        select doc_seq, pos as ref_pos, symbol_id from elements where json_type(e) = 'OBJECT' and json_type(e, '$.Location') = 'OBJECT' and json_type(e, '$.Kind') is not null and json_type(e, '$.Kind') <> 'NULL'""",
+    "p4_references": f"""with {_ELEMENTS.format(field='References')}
+        select doc_seq, pos as ref_pos, symbol_id, json_extract_string(e, '$.Kind') as kind, json_extract_string(e, '$.Container.ID') as container_id, {_place_sql('e', 'Location', 'location')} from elements""",
+    "p4_headers": f"""with {_ELEMENTS.format(field='IncludeHeaders')}
+        select doc_seq, pos as header_pos, symbol_id, json_extract_string(e, '$.Header') as header, json_extract_string(e, '$.References') as n_refs from elements""",
+    "p4_symbols": f"""with {_DOCS}
+        select doc_seq, {_KEY.format("json_extract_string(body, '$.ID')")} as symbol_id, {', '.join(f"json_extract_string(body, '$.{p}') as {n}" for p, n in [('Name', 'name'), ('Scope', 'scope'), ('SymInfo.Kind', 'kind'), ('SymInfo.Lang', 'lang'), ('Flags', 'flags'), ('Signature', 'signature'), ('ReturnType', 'return_type'), ('Type', 'type'), ('Documentation', 'documentation')])},
+        {_place_sql('body', 'CanonicalDeclaration', 'declaration')}, {_place_sql('body', 'Definition', 'definition')} from objects where symbol_id is not null and json_type(body, '$.SymInfo') = 'OBJECT'""",
 }
