@@ -53,7 +53,7 @@ def fold(changes: DataFrame, keep: list[str], suffixes: tuple[str, ...] | None =
     single = single.join(explained, [*keep, "path"], "left_anti")
     new = pairs.select(*keep, F.lit("added").alias("change_type"), "path")
     old = pairs.filter("change_type = 'renamed_exact'").select(*keep, F.lit("deleted").alias("change_type"), F.col("original").alias("path"))
-    return single.unionByName(new).unionByName(old).distinct()
+    return single.unionByName(new).unionByName(old).select(*keep, "change_type", "path").distinct()
 
 
 def changed_headers(folded: DataFrame) -> DataFrame:

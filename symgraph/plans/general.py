@@ -6,27 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.functions.text import symbol_key
 from symgraph.operators import increments, orphans, shred, snapshots
+from symgraph.schema import INDEX_SCHEMA, place_columns
 from symgraph.session import shared_dir, table
 from symgraph.sources.manifest import Manifest
 
 #: Compared columns of a snapshot row.
 SNAPSHOT_COLUMNS = ["name", "kind", "lang", "scope", "signature", "return_type", "type", "definition"]
 
-_PLACE = {"FileURI": None, "Start": {"Line": None, "Column": None}, "End": {"Line": None, "Column": None}}
-#: The fields of the index documents.
-INDEX_SCHEMA = {
-    "ID": None, "Name": None, "Scope": None, "SymInfo": {"Kind": None, "Lang": None}, "CanonicalDeclaration": _PLACE, "Definition": _PLACE,
-    "Flags": None, "Signature": None, "ReturnType": None, "Type": None, "Documentation": None,
-    "IncludeHeaders": [{"Header": None, "References": None}],
-    "References": [{"Kind": None, "Location": _PLACE, "Container": {"ID": None}}],
-    "Subject": {"ID": None}, "Predicate": None, "Object": {"ID": None},
-}
-
-
-def _place_columns(at: str, name: str) -> dict[str, str]:
-    return {f"{at}.FileURI": f"{name}_file_uri", f"{at}.Start.Line": f"{name}_start_line", f"{at}.Start.Column": f"{name}_start_column", f"{at}.End.Line": f"{name}_end_line", f"{at}.End.Column": f"{name}_end_column"}
-
-
 # 1: references to records that do not exist
 
 
@@ -106,7 +92,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_references(spark: SparkSession, d: str) -> DataFrame:
     """Every element of References with its document, position and symbol; bad elements keep their position."""
-    columns = {"References.Kind": "kind", "References.Container.ID": "container_id"} | _place_columns("References.Location", "location")
+    columns = {"References.Kind": "kind", "References.Container.ID": "container_id"} | place_columns("References.Location", "location")
     refs = shred.assemble(_shredded(spark, d, ["ID", *columns]), INDEX_SCHEMA, "References", ["doc_seq"], columns, {"ID": "id"})
     return refs.select("doc_seq", F.col("pos_1").alias("ref_pos"), symbol_key("id").alias("symbol_id"), *columns.values())
 
@@ -119,7 +105,7 @@ def p4_headers(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_symbols(spark: SparkSession, d: str) -> DataFrame:
     """One row per document that has an ID and a SymInfo group."""
-    columns = {"ID": "id", "Name": "name", "Scope": "scope", "SymInfo.Kind": "kind", "SymInfo.Lang": "lang", "Flags": "flags", "Signature": "signature", "ReturnType": "return_type", "Type": "type", "Documentation": "documentation"} | _place_columns("CanonicalDeclaration", "declaration") | _place_columns("Definition", "definition")
+    columns = {"ID": "id", "Name": "name", "Scope": "scope", "SymInfo.Kind": "kind", "SymInfo.Lang": "lang", "Flags": "flags", "Signature": "signature", "ReturnType": "return_type", "Type": "type", "Documentation": "documentation"} | place_columns("CanonicalDeclaration", "declaration") | place_columns("Definition", "definition")
     rows = shred.assemble(_shredded(spark, d, list(columns)), INDEX_SCHEMA, "", ["doc_seq"], columns, {}, {"SymInfo.Kind": "info_level"})
     return rows.filter("info_level >= 1 and id is not null").withColumn("id", symbol_key("id")).withColumnRenamed("id", "symbol_id").drop("info_level")
 

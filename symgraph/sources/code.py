@@ -25,7 +25,7 @@ NOT_NAMES = {"if", "for", "while", "switch", "return", "sizeof", "defined", "els
 def read_tree(spark: SparkSession, root: str, pattern: str = "*.{c,h}") -> DataFrame:
     """(path, text) of the source files below root; bytes that are no UTF-8 are replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.decode("content", "utf-8").alias("text"))
+    return files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def _blanked(text: str) -> str:

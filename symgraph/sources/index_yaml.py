@@ -13,6 +13,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from symgraph.operators.nodes import last_wins
+from symgraph.operators.shred import assemble, shred
+from symgraph.schema import INDEX_SCHEMA, place_columns
+from symgraph.session import cut
+
 MARK = "\n--- "
 
 
@@ -75,14 +80,9 @@ def symbols_and_refs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     A document with an ID and a SymInfo is a symbol, one with an ID and References holds
     references; anything else is passed over.
     """
-    from symgraph.operators.nodes import last_wins
-    from symgraph.operators.shred import assemble, shred
-    from symgraph.plans.general import INDEX_SCHEMA, _place_columns
-    from symgraph.session import cut
-
     text = {"ID": "id", "Name": "name", "Scope": "scope", "SymInfo.Kind": "kind", "SymInfo.Lang": "lang", "Signature": "signature", "ReturnType": "return_type", "Type": "type"}
-    places = _place_columns("CanonicalDeclaration", "c") | _place_columns("Definition", "d")
-    each = {"References.Kind": "kind", "References.Container.ID": "container_id"} | _place_columns("References.Location", "l")
+    places = place_columns("CanonicalDeclaration", "c") | place_columns("Definition", "d")
+    each = {"References.Kind": "kind", "References.Container.ID": "container_id"} | place_columns("References.Location", "l")
     parts = cut(shred(docs, "body", ["doc_seq"], INDEX_SCHEMA, [*text, *places, *each]), "index")
 
     def place(p: str):
