@@ -12,9 +12,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from symgraph.functions import paths as P
+from symgraph.session import cut
 
 Summarizer = Callable[[list[str]], list[str]]
 Embedder = Callable[[list[str]], list[list[float]]]
@@ -149,36 +151,54 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
 
 
-def cosine_topk(queries: DataFrame, vectors: DataFrame, id_col: str, vector_col: str, dims: int, k: int, block: int = 512) -> DataFrame:
+#: Bytes of queries that are held at a time by the driver and each task.
+QUERY_BYTES = 64 << 20
+
+
+def cosine_topk(queries: DataFrame, vectors: DataFrame, id_col: str, vector_col: str, dims: int, k: int, slice_rows: int = 512, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """(query_id, id, score, rank): exact search of a stated query set in all vectors.
 
-    Queries go in blocks against each batch of vectors as matrix products; each batch keeps k
-    per query, so what is shuffled is small, and the best of the batches win. The query set is
-    broadcast and has to be of a stated, bounded size.
+    Queries go in blocks of at most ``query_bytes``, whatever their number, against each batch
+    of vectors as matrix products; each batch keeps k per query, so what is shuffled is small,
+    and the best of the batches win. More than one block means one pass over the vectors per
+    block, each written before the next. A query id counts once and is not its own result;
+    vectors that are null, of another length, or hold a null take no part; ties go to the
+    smaller id.
     """
-    asked = queries.select(id_col, vector_col).toArrow()
-    q_ids = asked[id_col].to_numpy()
-    q = np.stack([np.asarray(v, np.float64) for v in asked[vector_col].to_pylist()]) if asked.num_rows else np.zeros((0, dims))
-    q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
+    usable = F.col(id_col).isNotNull() & (F.size(vector_col) == dims) & ~F.exists(vector_col, lambda x: x.isNull() | F.isnan(x))
+    asked = queries.filter(usable).select(F.col(id_col).alias("id"), F.col(vector_col).alias("v")).dropDuplicates(["id"])
+    kept = vectors.filter(usable).select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
+    n_blocks = max(1, -(-asked.count() * dims * 8 // query_bytes))
+    found = None
+    for block in range(n_blocks):
+        part = asked if n_blocks == 1 else asked.filter(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block)
+        one = _search_block(part.toArrow(), kept, dims, k, slice_rows)
+        one = one if n_blocks == 1 else cut(one, "topk")
+        found = one if found is None else found.unionByName(one)
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _search_block(asked: pa.Table, kept: DataFrame, dims: int, k: int, slice_rows: int) -> DataFrame:
+    q_ids = asked["id"].to_numpy()
+    q = _unit_rows(asked["v"].to_pylist(), dims)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = np.stack([np.asarray(v, np.float64) for v in frame["v"]])
-            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            ids = frame["id"].to_numpy()
-            for start in range(0, len(q), block):
-                scores = np.round(q[start : start + block] @ x.T, 6)
-                own = q_ids[start : start + block]
+            x, ids = _unit_rows(frame["v"].tolist(), dims), frame["id"].to_numpy()
+            for start in range(0, len(q), slice_rows):
+                scores = np.round(q[start : start + slice_rows] @ x.T, 6)
+                own = q_ids[start : start + slice_rows]
                 scores[own[:, None] == ids[None, :]] = -9
                 order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
                 best = np.take_along_axis(scores, order, 1)
                 out = pd.DataFrame({"query_id": np.repeat(own, order.shape[1]), "id": ids[order].ravel(), "score": best.ravel()})
                 yield out[out["score"] > -9]
 
-    from pyspark.sql import Window as W
+    kind = kept.schema["id"].dataType.simpleString()
+    return kept.mapInPandas(run, f"query_id {kind}, id {kind}, score double")
 
-    kept = vectors.filter(F.size(vector_col) == dims).select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
-    kind = vectors.schema[id_col].dataType.simpleString()
-    found = kept.mapInPandas(run, f"query_id {kind}, id {kind}, score double")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+def _unit_rows(lists: list, dims: int) -> np.ndarray:
+    x = np.array([np.asarray(v, np.float64) for v in lists]).reshape(-1, dims)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)

@@ -87,7 +87,7 @@ def defines_edges(rows: DataFrame, files: DataFrame) -> DataFrame:
 def pair_edges(pairs: DataFrame, nodes: DataFrame, src: str, dst: str, key: str) -> DataFrame:
     """Distinct pairs of which both ends are nodes."""
     a, b = nodes.select(F.col(key).alias(src)).distinct(), nodes.select(F.col(key).alias(dst)).distinct()
-    return pairs.select(src, dst).distinct().join(a, src, "left_semi").join(b, dst, "left_semi")
+    return pairs.select(src, dst).distinct().join(a, src, "left_semi").join(b, dst, "left_semi").select(src, dst)
 
 
 def grouped_includes(includes: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def write_counts(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def without_keys(df: DataFrame, gone: DataFrame, column: str, key: str) -> DataFrame:
-    return df.join(gone.select(F.col(key).alias(column)).distinct(), column, "left_anti")
+    return df.join(gone.select(F.col(key).alias(column)).distinct(), column, "left_anti").select(*df.columns)
 
 
 def purge_symbols(nodes: DataFrame, defines: DataFrame, edges: dict[str, tuple[DataFrame, list[str]]], files: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.functions import paths as P
-from symgraph.operators import calls, changes, enrich, nodes, store, traverse
+from symgraph.operators import calls, changes, enrich, nodes, render, store, traverse
 from symgraph.plans import views as V
 from symgraph.session import table
 from symgraph.sources import markers
@@ -109,6 +109,19 @@ def schema_triples(s, d):
     return store.edge_types(edges, {"CALLS": ("FUNCTION", "FUNCTION")})
 
 
+@query
+def folder_drawing(s, d):
+    files = _files(s, d)
+    return render.dot_lines(nodes.folder_nodes(files), "path", "parent_path", "name")
+
+
+@query
+def span_listing(s, d):
+    f = V.function_nodes(s, d).filter("body_location is not null")
+    spans = f.select(F.col("file_path").alias("file"), "name", F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"), F.col("body_location").alias("body"))
+    return render.span_listing(spans)
+
+
 # Calls
 
 

@@ -84,6 +84,8 @@ ORACLE = {
     "definitions_by_file": f"{_GRAPH} select project_path, count(distinct file_path) as n_files, count(*) as n_defined, round(count(*) / count(distinct file_path), 6) as mean_defined from def group by 1",
     "header_language": f"with {SYM}, {FILES} select project_path, {_parent('path')} as folder, count(*) filter (path like '%.h') as n_headers, case when bool_or(regexp_matches(path, '\\.(cpp|cc|cxx)$')) then 'C++' when bool_or(path like '%.c') then 'C' else 'unknown' end as language from fls group by 1, 2 having count(*) filter (path like '%.h') > 0",
     "schema_triples": f"{_GRAPH}, {FOLDERS}, {CONTAINS}, {SITES} select src_label, 'CONTAINS' as edge, dst_label, count(*) as n from con group by 1, 3 union all select 'FILE', 'DEFINES', dst_label, count(*) from def group by dst_label union all select 'FUNCTION', 'CALLS', 'FUNCTION', count(*) from cl",
+    "folder_drawing": f"with {SYM}, {FILES}, {FOLDERS} select '  \"' || path || '\" [label=\"' || case when length(name) > 35 then left(name, 15) || ' ... ' || right(name, 15) else name end || '\"];' as line from fld union all select '  \"' || parent_path || '\" -> \"' || path || '\";' from fld",
+    "span_listing": f"with {FNODES}, sp as (select distinct file_path as file, name, name_location[1] as l, name_location[2] as c, body_location as b from fnode where body_location is not null) select file, count(*) as n, string_agg(name || ' ' || b[1] || '-' || b[3], '; ' order by l, c, name, b[1], b[3]) as functions from sp group by file",
     "call_sites": f"with {SYM}, {SITES} select * from st",
     "call_edges": f"with {SYM}, {SITES} select * from cl",
     "call_edges_stored": f"{_BASE}, {SITES} select * from cl where caller_id in (select id from rws where kind = 'Function') and callee_id in (select id from rws where kind = 'Function')",

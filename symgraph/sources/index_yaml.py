@@ -74,6 +74,20 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("doc_seq", "value").mapInPandas(run, "doc_seq long, body string, error string")
 
 
+def cached_index(spark: SparkSession, path: str, cache: str) -> DataFrame:
+    """The documents of an index from a parquet copy that is at least as new as the index, else read anew and copied."""
+    jvm = spark.sparkContext._jvm
+
+    def modified(p: str) -> int:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.getFileStatus(at).getModificationTime() if fs.exists(at) else -1
+
+    if modified(f"{cache}/_SUCCESS") < modified(path):
+        read_index(spark, path).write.mode("overwrite").parquet(cache)
+    return spark.read.schema("doc_seq long, body string, error string").parquet(cache)
+
+
 def symbols_and_refs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed symbols (last document of an id wins) and references from index documents (doc_seq, body).
 
