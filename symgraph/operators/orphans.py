@@ -18,8 +18,9 @@ Rows without a row id take no part. Empty tables give empty results.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from symgraph.functions.text import is_reference, symbol_key
 from symgraph.session import cut
@@ -75,8 +76,19 @@ def _salted(df: DataFrame, key: str, hot: list[str], by: str | None) -> DataFram
 
 
 def _alive(v: DataFrame, p: DataFrame) -> Column:
-    started = p["live_from"].isNull() & p["always"] | (p["live_from"] <= v["loaded_at"])
-    return (v["ref_key"] == p["key"]) & (v["_salt"] == p["_salt"]) & started & (p["live_to"].isNull() | (v["loaded_at"] < p["live_to"]))
+    at = v["loaded_at"]
+    return (v["ref_key"] == p["key"]) & (v["_salt"] == p["_salt"]) & (p["always"] | ((p["live_from"] <= at) & (at < p["live_to"])))
+
+
+def _periods(lives: DataFrame) -> DataFrame:
+    """Lives of a key that touch or overlap as one period, so that a key delivered over and over is a few rows."""
+    early, late = (F.lit(x).cast("timestamp") for x in ("0001-01-01", "9999-12-31"))
+    each = lives.select("key", "always", F.coalesce("live_from", early).alias("live_from"), F.coalesce("live_to", late).alias("live_to")).filter("live_from < live_to")
+    before = W.partitionBy("key").orderBy("live_from", "live_to").rowsBetween(W.unboundedPreceding, -1)
+    upto = W.partitionBy("key").orderBy("live_from", "live_to").rowsBetween(W.unboundedPreceding, W.currentRow)
+    apart = each.withColumn("_new", F.coalesce((F.col("live_from") > F.max("live_to").over(before)).cast("int"), F.lit(1)))
+    numbered = apart.withColumn("_no", F.sum("_new").over(upto))
+    return numbered.groupBy("key", "_no").agg(F.min("live_from").alias("live_from"), F.max("live_to").alias("live_to"), F.max("always").alias("always")).drop("_no")
 
 
 def _lives(parents: list[Parent], with_row: bool = False) -> DataFrame:
@@ -100,7 +112,7 @@ def reference_values(child: Child) -> DataFrame:
 
 
 def _without(values: DataFrame, lives: DataFrame, hot: list[str], how: str) -> DataFrame:
-    v, p = _salted(values, "ref_key", hot, "row_id"), _salted(lives, "key", hot, None)
+    v, p = _salted(values, "ref_key", hot, "row_id"), _salted(_periods(lives), "key", hot, None)
     return v.join(p, _alive(v, p), how).drop("_salt")
 
 
@@ -122,10 +134,7 @@ def orphan_cascade(children: list[Child], groups: dict[str, list[Parent]], hot:
     hot, values, direct = dict(hot or {}), {}, {}
     for c in children:
         if c.name not in hot:
-            keys = None
-            for f in c.fields:
-                one = c.rows.select(symbol_key(f).alias("k"))
-                keys = one if keys is None else keys.unionByName(one)
+            keys = c.rows.select(F.explode(F.array(*map(symbol_key, c.fields))).alias("k"))
             hot[c.name] = hot_keys(keys.filter(is_reference(F.col("k"))), "k")
     mark = lambda df, kind, depth: df.withColumns({"orphan_kind": F.lit(kind), "depth": F.lit(depth)}).select(*OUTPUT)
     for c in children:
@@ -142,7 +151,7 @@ def orphan_cascade(children: list[Child], groups: dict[str, list[Parent]], hot:
         healthy = lives.join(orphans, ["parent_table", "parent_row"], "left_anti")
         return mark(_without(_without(values[c.name, g], sick, hot[c.name], "left_semi"), healthy, hot[c.name], "left_anti"), "inherited", depth)
 
-    union = lambda dfs: __import__("functools").reduce(DataFrame.unionByName, dfs)
+    union = lambda dfs: reduce(DataFrame.unionByName, dfs)
     by_name = {c.name: c for c in children}
     depths = _depths(children, groups)
     if depths is not None:

@@ -37,6 +37,12 @@ def test_nulls_and_empty_tables(spark):
     assert _cascade(spark, [], []) == []
 
 
+def test_lives_that_overlap_touch_or_never_hold(spark):
+    parents = [("a", T[1], T[3], None), ("a", T[2], T[4], None), ("a", T[4], T[5], None), ("a", T[7], T[6], None), ("a", T[9], T[9], None), ("a", T[12], None, None), ("a", T[13], T[14], None)] * 3
+    children = [(i, T[i], "a", None, None) for i in range(18)]
+    assert sorted(int(i) for _, i, _ in _cascade(spark, parents, children)) == [0, 5, 6, 7, 8, 9, 10, 11]
+
+
 def test_salting_changes_nothing(spark):
     parents = [("hot", T[3], None, None), ("b", T[0], T[2], None)]
     children = [(i, T[i % 8], "hot", "b", None) for i in range(200)]
