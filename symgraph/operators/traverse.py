@@ -14,7 +14,7 @@ def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: in
     Semi-naive rounds: only pairs that are new meet the edges again. Each round is a written
     table, so lineage stays flat and lost executors do not restart the loop.
     """
-    back = edges.select(F.col(dst).alias("_to"), F.col(src).alias("_from")).distinct()
+    back = cut(edges.select(F.col(dst).alias("_to"), F.col(src).alias("_from")).distinct(), "edges")
     front = cut(seeds.select(F.col(seeds.columns[0]).alias("seed")).distinct().join(back, F.col("seed") == F.col("_to")).select("seed", F.col("_from").alias("node")).distinct(), "reach")
     seen = front
     for _ in range(max_rounds):

@@ -184,9 +184,8 @@ def span_enrichment(s, d):
 
 @query
 def includes_edges(s, d):
-    """Pairs of which the included end also includes something: both ends are files of the invented tree."""
-    inc = V.includes(s, d)
-    return nodes.pair_edges(inc, inc.select(F.col("included").alias("path")).unionByName(inc.filter("including like '%.h'").select(F.col("including").alias("path"))), "including", "included", "path")
+    """Include pairs of which both ends are files."""
+    return nodes.pair_edges(V.includes(s, d), _files(s, d).select(P.joined("project_path", "path").alias("path")), "including", "included", "path")
 
 
 @query
@@ -218,8 +217,8 @@ def impact_sources(s, d):
 
 
 def _seeds(s: SparkSession, d: str) -> DataFrame:
-    """Functions whose name starts with 'a': a stated seed set."""
-    return _functions(s, d).filter("name like 'a%'").select("id")
+    """Functions that wait for a code summary."""
+    return enrich.needs_code_summary(V.function_nodes(s, d)).select("id")
 
 
 @query
@@ -257,47 +256,51 @@ def disconnected_functions(s, d):
 
 @query
 def overlay_upsert(s, d):
-    """Newer rows over older ones by id; the newer ones take the return type away."""
-    now = _rows(s, d).select("id", "name", "kind", "signature", "return_type")
-    old = now.filter("substr(id, 1, 1) < 'C'")
-    new = now.filter("substr(id, 1, 1) >= '8'").select("id", F.concat(F.lit("new_"), "name").alias("name"), F.lit(None).cast("string").alias("kind"), F.nullif("signature", F.lit("")).alias("signature"), F.array(F.lit("return_type")).alias("gone"))
+    """Current symbols over ended ones by id; the current ones take the return type away."""
+    fields = ["id", "name", "kind", "signature", "return_type"]
+    old = V.symbols(s, d, "ended").select(*fields)
+    new = V.symbols(s, d, "current").select("id", "name", F.nullif("kind", F.lit("")).alias("kind"), F.nullif("signature", F.lit("")).alias("signature"), F.array(F.lit("return_type")).alias("gone"))
     return store.overlay(old, new, ["id"], "gone")
 
 
 @query
 def write_counts(s, d):
-    now = _rows(s, d).select("id")
-    return store.write_counts(now.filter("substr(id, 1, 1) < 'C'"), now.filter("substr(id, 1, 1) >= '8'"), ["id"])
+    return store.write_counts(V.symbols(s, d, "ended"), V.symbols(s, d, "current"), ["id"])
 
 
 def _gone_files(s: SparkSession, d: str) -> DataFrame:
-    return _files(s, d).filter("name like 'a%' or name like 's%'")
+    """(path), absolute: files that some commit deletes or renames."""
+    folded = changes.fold(_changes(s, d), _COMMIT)
+    return folded.filter("change_type = 'deleted'").select(P.joined("project_path", "path").alias("path")).distinct()
+
+
+def _absolute_defines(s: SparkSession, d: str) -> DataFrame:
+    return _defines(s, d).select(P.joined("project_path", "file_path").alias("file_path"), "id")
 
 
 @query
 def purge_symbols(s, d):
-    defines = _defines(s, d).select("file_path", "id")
-    kept, _, _ = store.purge_symbols(_functions(s, d).select("id"), defines, {}, _gone_files(s, d).select("path"))
+    kept, _, _ = store.purge_symbols(_functions(s, d).select("id"), _absolute_defines(s, d), {}, _gone_files(s, d))
     return kept
 
 
 @query
 def purge_call_edges(s, d):
-    defines = _defines(s, d).select("file_path", "id")
-    _, _, edges = store.purge_symbols(_functions(s, d).select("id"), defines, {"calls": (_calls(s, d), ["caller_id", "callee_id"])}, _gone_files(s, d).select("path"))
+    _, _, edges = store.purge_symbols(_functions(s, d).select("id"), _absolute_defines(s, d), {"calls": (_calls(s, d), ["caller_id", "callee_id"])}, _gone_files(s, d))
     return edges["calls"]
 
 
 @query
 def purge_includes(s, d):
-    return store.purge_includes(V.includes(s, d).distinct(), V.headers(s, d))
+    return store.purge_includes(V.includes(s, d), _gone_files(s, d))
 
 
 @query
 def prune_folders(s, d):
+    full = lambda df: df.select(P.joined("project_path", "path").alias("path"))
     files = _files(s, d)
-    left = store.without_keys(files, _gone_files(s, d), "path", "path")
-    return store.prune_folders(nodes.folder_nodes(files).select("path").distinct(), left)
+    left = store.without_keys(full(files), _gone_files(s, d), "path", "path")
+    return store.prune_folders(full(nodes.folder_nodes(files)), left)
 
 
 @query
@@ -408,9 +411,9 @@ def context_prompts(s, d):
 
 @query
 def summaries_changed(s, d):
-    """Every second function gets a new summary; the embedding goes only where the text differs."""
-    f = V.function_nodes(s, d).select("id", "summary", "summary_embedding")
-    new = f.select("id", F.when(F.col("id").substr(16, 1) < "8", F.lit("This code does its part.")).otherwise(F.col("summary")).alias("new_summary")).filter("new_summary is not null")
+    """Code summaries taken for summaries; the embedding goes only where the text differs."""
+    f = V.function_nodes(s, d).select("id", "summary", "code_summary", "summary_embedding")
+    new = f.select("id", F.col("code_summary").alias("new_summary")).filter("new_summary is not null")
     return enrich.apply_summaries(f, new, ["id"]).select("id", "summary", F.col("summary_embedding").isNotNull().alias("embedded"))
 
 

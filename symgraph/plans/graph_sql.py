@@ -21,9 +21,14 @@ def _base(p: str) -> str:
     return f"regexp_extract({p}, '[^/]*$')"
 
 
-SYM = f"""sym as (select id, project_path, {', '.join(_TEXT)}, canonical_declaration, definition, loaded_at, removed_at from (
+def _symbols(where: str, name: str) -> str:
+    """One row per symbol id of the rows that meet a condition: the latest load wins."""
+    return f"""{name} as (select id, project_path, {', '.join(_TEXT)}, canonical_declaration, definition, loaded_at, removed_at from (
  select *, row_number() over (partition by id order by loaded_at desc, coalesce(removed_at, timestamp '9999-01-01') desc, {', '.join(f'{c} desc' for c in _TEXT)}) as _r from (
-  select {_KEY.format('id')} as id, project_path, {', '.join(f"coalesce({_T.format(c)}, '') as {c}" for c in _TEXT)}, canonical_declaration, definition, loaded_at, removed_at from symbols) n) r where _r = 1)"""
+  select {_KEY.format('id')} as id, project_path, {', '.join(f"coalesce({_T.format(c)}, '') as {c}" for c in _TEXT)}, canonical_declaration, definition, loaded_at, removed_at from symbols where {where}) n) r where _r = 1)"""
+
+
+SYM = _symbols("true", "sym")
 ROWS = f"""placed as (select *, case when definition is not null then definition.file_uri else canonical_declaration.file_uri end as uri, case when definition is not null then definition.start_line else canonical_declaration.start_line end as l,
  case when definition is not null then definition.start_column else canonical_declaration.start_column end as c, definition is null and canonical_declaration is null as nowhere from sym where id <> '' and kind <> ''),
 rws as (select project_path, id, name, kind, scope, lang as language, definition is not null as has_definition, case when not nowhere then substr({_path('uri')}, length(project_path) + 2) end as path,
@@ -47,11 +52,13 @@ FNODES = "fnode as (select distinct * from function_nodes)"
 CSITES = f"""cs as (select call_id as site_id, {_path('call_location.file_uri')} as file, call_location.start_line as line, call_location.start_column as col from (select *, row_number() over (partition by call_id order by loaded_at) as _r from call_relations) x where _r = 1 and call_location is not null),
 bd as (select {_KEY.format('f.id')} as id, {_path('s.definition.file_uri')} as file, f.body_location[1] as l1, f.body_location[2] as c1, f.body_location[3] as l2, f.body_location[4] as c2 from fnode f join sym s on s.id = {_KEY.format('f.id')} where s.definition is not null and len(f.body_location) = 4),
 mt as (select c.site_id, b.id, b.l1 from cs c join bd b on b.file = c.file and (c.line > b.l1 or (c.line = b.l1 and c.col >= b.c1)) and (c.line < b.l2 or (c.line = b.l2 and c.col <= b.c2)))"""
-_NAME = "'f' || {0} || case when {0} % 3 = 0 then '.h' else '.c' end"
-INC = f"""inc as (select {_NAME.format('o_orderkey')} as including, {_NAME.format('o_custkey')} as included from orders where o_orderpriority = '1-URGENT'),
-seeds as (select distinct {_NAME.format('o_custkey')} as seed from orders where o_orderpriority = '1-URGENT' and o_custkey < 20)"""
+INC = f"""idoc as (select json_extract_string(body, '$.Definition.FileURI') as file, body, json_type(body, '$.IncludeHeaders') as rt from (select body from index_docs where body is not null and json_valid(body)) v where json_type(body) = 'OBJECT'),
+ihdr as (select file, json_extract_string(body, '$.IncludeHeaders[' || i || '].Header') as header from (select file, body, unnest(range(cast(json_array_length(body, '$.IncludeHeaders') as bigint))) as i from idoc where rt = 'ARRAY') x
+ union all select file, json_extract_string(body, '$.IncludeHeaders.Header') from idoc where rt = 'OBJECT'),
+inc as (select distinct {_path('file')} as including, {_path('header')} as included from ihdr where file is not null and header is not null),
+seeds as (select distinct included as seed from inc where included like '%.h')"""
 REACH = f"{INC}, reach as (select s.seed, i.including as node from seeds s join inc i on i.included = s.seed union select r.seed, i.including from reach r join inc i on i.included = r.node)"
-SEEDS = "sd as (select id from rws where kind = 'Function' and name like 'a%')"
+SEEDS = f"{FNODES}, sd as (select id from fnode where coalesce(code_summary, '') = '' and body_location is not null)"
 _ITEM = "select project_path, commit_hash, '{0}' as change_type, unnest({0}) as path, null as original from git_changes"
 _PAIR = "select project_path, commit_hash, '{0}' as change_type, e.\"new\" as path, e.original as original from (select project_path, commit_hash, unnest({0}) as e from git_changes) x"
 _SRC = "regexp_matches({}, '\\.(c|h|cpp|cc|cxx)$')"
@@ -66,7 +73,8 @@ dirty as (select distinct f.project_path, f.commit_hash, f.path from fold f left
 CONTEXT = """callers as (select c.callee_id as id, string_agg(distinct s.name, ',' order by s.name) as callers from cl c join rws s on s.id = c.caller_id and s.kind = 'Function' group by 1),
 callees as (select c.caller_id as id, string_agg(distinct s.name, ',' order by s.name) as callees from cl c join rws s on s.id = c.callee_id and s.kind = 'Function' group by 1),
 ctx as (select f.id, coalesce(a.callers, '') as callers, coalesce(b.callees, '') as callees from (select id from rws where kind = 'Function') f left join callers a on a.id = f.id left join callees b on b.id = f.id)"""
-GONE = "gone as (select d.id from def d where d.file_path in (select path from fls where name like 'a%' or name like 's%'))"
+GONE_FILES = f"{FOLD}, gonef as (select distinct project_path || '/' || path as path from del)"
+GONE = f"{GONE_FILES}, gone as (select d.id from def d where d.project_path || '/' || d.file_path in (select path from gonef))"
 CHILD = f"""chd as (select 'File' as label, {_base('file_path')} as name, min(summary) as summary, {_parent('file_path')} as parent_path from fnode where summary is not null and summary <> '' and file_path is not null group by file_path)"""
 LINES = "ln as (select doc_id, i - 1 as line_no, p[i] as line from (select doc_id, p, unnest(range(1, len(p) + 1)) as i from (select doc_id, string_split(text, chr(10)) as p from documents where text is not null) a) b)"
 _BASE, _GRAPH = f"with {SYM}, {ROWS}", f"with {SYM}, {ROWS}, {FILES}, {DEFINES}"
@@ -99,7 +107,7 @@ ORACLE = {
     "interval_first_match": f"with {SYM}, {FNODES}, {CSITES} select site_id, id from (select *, row_number() over (partition by site_id order by l1, id) as _r from mt) x where _r = 1",
     "span_enrichment": f"""{_BASE}, {FNODES}, spans as (select * from (select name, file_path, name_location, body_location, row_number() over (partition by name, file_path, name_location order by id desc) as _r from fnode where body_location is not null) x where _r = 1)
         select r.id, s.body_location[1] as first_line, s.body_location[3] as last_line from rws r left join spans s on s.name = r.name and s.file_path = r.file_path and s.name_location[1] = r.name_location[1] and s.name_location[2] = r.name_location[2] where r.kind = 'Function' and r.file_path is not null""",
-    "includes_edges": f"with {INC}, nd as (select included as path from inc union select including from inc where including like '%.h') select distinct including, included from inc where including in (select path from nd) and included in (select path from nd)",
+    "includes_edges": f"with {SYM}, {FILES}, {INC}, nd as (select project_path || '/' || path as path from fls) select distinct including, included from inc where including in (select path from nd) and included in (select path from nd)",
     "include_groups": f"with {INC} select including, count(distinct included) as n, string_agg(distinct included, ',' order by included) as included from inc group by including",
     "reverse_includes": f"with {INC} select included, count(distinct including) as n_including from inc group by 1",
     "impact_transitive": f"with recursive {REACH} select seed, node from reach",
@@ -111,13 +119,13 @@ ORACLE = {
     "files_of_symbols": f"{_GRAPH}, {SEEDS} select distinct project_path, file_path from def where id in (select id from sd)",
     "node_degrees": f"with {SYM}, {SITES} select node, count(*) as degree from (select caller_id as node from cl union all select callee_id from cl) u group by 1",
     "disconnected_functions": f"{_GRAPH}, {SITES} select id from rws where kind = 'Function' and id not in (select caller_id from cl) and id not in (select callee_id from cl) and id not in (select id from def)",
-    "overlay_upsert": f"""{_BASE}, o as (select id, name, kind, signature, return_type from rws where substr(id, 1, 1) < 'C'), n as (select id, 'new_' || name as name, nullif(signature, '') as signature from rws where substr(id, 1, 1) >= '8')
-        select coalesce(n.id, o.id) as id, coalesce(n.name, o.name) as name, o.kind as kind, coalesce(n.signature, o.signature) as signature, case when n.id is null then o.return_type end as return_type from o full outer join n on o.id = n.id""",
-    "write_counts": f"{_BASE} select count(*) filter (substr(id, 1, 1) >= 'C') as n_created, count(*) filter (substr(id, 1, 1) >= '8' and substr(id, 1, 1) < 'C') as n_matched from rws",
+    "overlay_upsert": f"""with {_symbols("removed_at is not null", "o")}, {_symbols("removed_at is null", "n0")}, n as (select id, name, nullif(kind, '') as kind, nullif(signature, '') as signature from n0)
+        select coalesce(n.id, o.id) as id, coalesce(n.name, o.name) as name, coalesce(n.kind, o.kind) as kind, coalesce(n.signature, o.signature) as signature, case when n.id is null then o.return_type end as return_type from o full outer join n on o.id = n.id""",
+    "write_counts": f"with {_symbols('removed_at is not null', 'o')}, {_symbols('removed_at is null', 'n')} select count(*) filter (o.id is null) as n_created, count(o.id) as n_matched from n left join o on o.id = n.id",
     "purge_symbols": f"{_GRAPH}, {GONE} select id from rws where kind = 'Function' and id not in (select id from gone)",
     "purge_call_edges": f"{_GRAPH}, {GONE}, {SITES} select * from cl where caller_id not in (select id from gone) and callee_id not in (select id from gone)",
-    "purge_includes": f"with {INC} select distinct including, included from inc where including not in (select seed from seeds)",
-    "prune_folders": f"with {SYM}, {FILES}, {FOLDERS}, lft as (select path from fls where path not in (select path from fls where name like 'a%' or name like 's%')) select distinct f.path from fld f where exists (select 1 from lft l where starts_with(l.path, f.path || '/'))",
+    "purge_includes": f"with {GONE_FILES}, {INC} select including, included from inc where including not in (select path from gonef)",
+    "prune_folders": f"with {SYM}, {FILES}, {FOLDERS}, {GONE_FILES}, lft as (select path from (select project_path || '/' || path as path from fls) f where path not in (select path from gonef)) select distinct path from (select project_path || '/' || path as path from fld) f where exists (select 1 from lft l where starts_with(l.path, f.path || '/'))",
     "property_counts": f"with {FNODES} select 'FUNCTION' as label, count(summary) as n from fnode union all select 'PROJECT', count(summary) from project union all select 'FILE', 0",
     "duplicate_keys": "select id, count(*) as n from function_nodes group by id having count(*) > 1",
     "listed_changes": f"with {LISTED} select * from lst",
@@ -134,7 +142,7 @@ ORACLE = {
     "folder_prompts": f"with {FNODES}, {CHILD} select parent_path, 'The folder ' || {_base('parent_path')} || ' holds: ' || string_agg(label || ' ' || name || ': ' || summary, '; ' order by label || ' ' || name || ': ' || summary) || chr(10) || 'Say what the folder is for.' as prompt from chd group by parent_path",
     "project_prompt": f"with {FNODES}, {CHILD} select 'all' as name, 'The project all holds: ' || string_agg(label || ' ' || name || ': ' || summary, '; ' order by label || ' ' || name || ': ' || summary) || chr(10) || 'Say what the project is for.' as prompt from chd where parent_path = '' having count(*) > 0",
     "context_prompts": f"{_BASE}, {SITES}, {CONTEXT}, {FNODES} select f.id, 'The function does this: ' || f.code_summary || chr(10) || 'It is called by: ' || coalesce(nullif(replace(c.callers, ',', ', '), ''), 'none') || chr(10) || 'It calls: ' || coalesce(nullif(replace(c.callees, ',', ', '), ''), 'none') || chr(10) || 'Say what part it plays.' as prompt from fnode f join ctx c on c.id = f.id where f.code_summary is not null",
-    "summaries_changed": f"with {FNODES}, x as (select id, summary, summary_embedding is not null as had, case when substr(id, 16, 1) < '8' then 'This code does its part.' else summary end as s from fnode) select id, coalesce(s, summary) as summary, had and (s is null or s is not distinct from summary) as embedded from x",
+    "summaries_changed": f"with {FNODES} select id, coalesce(code_summary, summary) as summary, summary_embedding is not null and (code_summary is null or code_summary is not distinct from summary) as embedded from fnode",
     "cosine_topk": """with q as (select vec_id as query_id, cast(embedding as double[]) as e from embeddings where vec_id % 100 = 0), a as (select vec_id as id, cast(embedding as double[]) as e from embeddings),
         s as (select q.query_id, a.id, round(list_cosine_similarity(q.e, a.e), 6) as score from q join a on a.id <> q.query_id) select query_id, id, score, rank from (select *, row_number() over (partition by query_id order by score desc, id) as rank from s) x where rank <= 5""",
     "uri_to_path": f"with u as (select distinct location.file_uri as uri from refs where location.file_uri is not null) select uri, {_path('uri')} as path, {_base(_path('uri'))} as name, len(string_split({_path('uri')}, '/')) - 1 as depth from u",

@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.functions import paths as P
 from symgraph.functions.text import plain, symbol_key
-from symgraph.operators import nodes
+from symgraph.operators import nodes, shred
+from symgraph.schema import INDEX_SCHEMA
 from symgraph.session import table
 
 _TEXT = ["name", "kind", "lang", "scope", "signature", "return_type"]
 
 
-def symbols(spark: SparkSession, d: str) -> DataFrame:
-    """One row per symbol id: the latest load wins."""
+def symbols(spark: SparkSession, d: str, which: str | None = None) -> DataFrame:
+    """One row per symbol id: the latest load wins. which: only loads that are 'ended' or 'current'."""
     rows = table(spark, d, "symbols").select(symbol_key("id").alias("id"), "project_path", *[plain(c).alias(c) for c in _TEXT], "canonical_declaration", "definition", "loaded_at", "removed_at")
+    if which:
+        rows = rows.filter(F.col("removed_at").isNotNull() if which == "ended" else F.col("removed_at").isNull())
     order = ["loaded_at", F.coalesce("removed_at", F.lit("9999-01-01").cast("timestamp_ntz")), *_TEXT]
     return nodes.last_wins(rows, ["id"], order)
 
@@ -46,14 +49,16 @@ def bodies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def includes(spark: SparkSession, d: str) -> DataFrame:
-    """Include pairs between invented files, from urgent orders: every third file is a header."""
-    name = lambda c: F.concat(F.lit("f"), F.col(c).cast("string"), F.when(F.col(c) % 3 == 0, ".h").otherwise(".c"))
-    return table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select(name("o_orderkey").alias("including"), name("o_custkey").alias("included"))
+    """(including, included), absolute paths: the file that defines a symbol and the headers named with it."""
+    paths = ["Definition.FileURI", "IncludeHeaders.Header"]
+    shredded = shred.shred(table(spark, d, "index_docs"), "body", ["doc_seq"], INDEX_SCHEMA, paths)
+    pairs = shred.assemble(shredded, INDEX_SCHEMA, "IncludeHeaders", ["doc_seq"], {paths[1]: "header"}, {paths[0]: "file"})
+    return pairs.filter("header is not null and file is not null").select(P.uri_path("file").alias("including"), P.uri_path("header").alias("included")).distinct()
 
 
 def headers(spark: SparkSession, d: str) -> DataFrame:
-    """(path): the seeds of the impact queries."""
-    return includes(spark, d).select(F.col("included").alias("path")).filter("cast(regexp_extract(path, '[0-9]+', 0) as int) < 20").distinct()
+    """(path): all included headers."""
+    return includes(spark, d).filter(F.col("included").endswith(".h")).select(F.col("included").alias("path")).distinct()
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
