@@ -57,7 +57,8 @@ def last_wins_symbols(s, d):
 
 @query
 def symbol_rows(s, d):
-    return _rows(s, d)
+    rows = _rows(s, d)
+    return rows.select(*[c for c in rows.columns if c != "name_location"], F.get("name_location", 0).alias("name_line"), F.get("name_location", 1).alias("name_column"))
 
 
 @query

@@ -82,7 +82,7 @@ _BASE, _GRAPH = f"with {SYM}, {ROWS}", f"with {SYM}, {ROWS}, {FILES}, {DEFINES}"
 ORACLE = {
     "feature_flags": f"with {REFS} select bool_or(container_id <> '') as has_container, bool_or(container_id <> '') or bool_or(kind >= 16) as has_call_kind from rf",
     "last_wins_symbols": f"with {SYM} select id, project_path, name, kind, loaded_at from sym",
-    "symbol_rows": f"{_BASE} select * from rws",
+    "symbol_rows": f"{_BASE} select project_path, id, name, kind, scope, language, has_definition, path, signature, return_type, file_path, name_location[1] as name_line, name_location[2] as name_column from rws",
     "kind_routing": f"{_BASE} select case when kind = 'Function' then 'FUNCTION' when kind in ('Struct', 'Class', 'Union', 'Enum') then 'DATA_STRUCTURE' else 'none' end as label, count(*) as n, count(file_path) as n_defined from rws group by 1",
     "kind_histogram": f"with {SYM} select kind, count(*) as n from sym group by kind",
     "file_nodes": f"with {SYM}, {FILES} select * from fls",
