@@ -165,29 +165,54 @@ class CodeGraph:
 
     # Enrichment
 
-    def enrich(self, sources: DataFrame, summarizer: enrich.Summarizer = enrich.constant_summaries, embedder: enrich.Embedder = enrich.hashed_embeddings, only: DataFrame | None = None) -> CodeGraph:
+    def enrich(self, sources: DataFrame, summarizer: enrich.Summarizer = enrich.constant_summaries, embedder: enrich.Embedder = enrich.hashed_embeddings, only: DataFrame | None = None, changed: DataFrame | None = None) -> CodeGraph:
         """Summaries from functions up to the project, then embeddings; each level is one job.
 
-        sources: (path, text), relative paths. only: (id) of functions to look at again.
+        sources: (path, text), relative paths. Without more, everything that lacks a summary gets
+        one. After an update, only: (id) of functions to look at again, and changed: (change_type,
+        path); then just these functions, those one call from a changed code summary, the files that
+        define a changed function or changed themselves, and the folders above are looked at.
         """
-        t = dict(self.tables)
-        todo = enrich.needs_code_summary(t["function"]) if only is None else t["function"].join(only, "id", "left_semi")
-        t["function"] = cut(enrich.apply_summaries(t["function"], enrich.summarize(enrich.function_prompts(todo, sources), ["id"], summarizer), ["id"], "code_summary"), "enrich")
-        todo = enrich.needs_summary(t["function"]) if only is None else t["function"].join(traverse.neighbours(only, t["calls"]), "id", "left_semi").filter("code_summary is not null")
-        prompts = enrich.context_prompts(todo, traverse.call_context(t["function"], t["calls"]))
-        t["function"] = cut(enrich.apply_summaries(t["function"], enrich.summarize(prompts, ["id"], summarizer), ["id"]), "enrich")
-        per_file = enrich.summarize(enrich.file_prompts(t["function"], []), ["file_path"], summarizer).withColumnRenamed("file_path", "path")
-        t["file"] = cut(enrich.apply_summaries(t["file"], per_file, ["path"]), "enrich")
+        t, targeted = dict(self.tables), only is not None or changed is not None
+        seeds = only if only is not None else self.spark.createDataFrame([], "id string")
+
+        def apply(name: str, prompts: DataFrame, column: str = "summary") -> DataFrame:
+            """Writes new summaries; gives the keys whose text changed."""
+            key = NODE_KEYS[name]
+            before = t[name].select(key, F.col(column).alias("_old"))
+            t[name] = cut(enrich.apply_summaries(t[name], enrich.summarize(prompts, [key], summarizer), [key], column), "enrich")
+            return cut(t[name].join(before, key).filter(~F.col(column).eqNullSafe(F.col("_old"))).select(key), "changed")
+
+        todo = t["function"].join(seeds.select("id").distinct(), "id", "left_semi") if targeted else enrich.needs_code_summary(t["function"])
+        recoded = apply("function", enrich.function_prompts(todo, sources), "code_summary")
+        if targeted:
+            near = seeds.select("id").unionByName(traverse.neighbours(recoded, t["calls"])).distinct()
+            todo = t["function"].join(near, "id", "left_semi").filter("code_summary is not null")
+        else:
+            todo = enrich.needs_summary(t["function"])
+        said = apply("function", enrich.context_prompts(todo, traverse.call_context(t["function"], t["calls"])))
+
+        files = enrich.file_prompts(t["function"], []).withColumnRenamed("file_path", "path")
+        folders = None
+        if targeted:
+            touched = t["defines"].join(said, "id", "left_semi").select(F.col("file_path").alias("path"))
+            gone = self.spark.createDataFrame([], "path string")
+            if changed is not None:
+                touched = touched.unionByName(changed.filter(F.col("change_type").isin("added", "modified")).select("path"))
+                gone = changed.filter("change_type = 'deleted'").select("path")
+            touched = cut(touched.distinct(), "touched")
+            files = files.join(touched, "path", "left_semi")
+            folders = cut(touched.unionByName(gone).select(F.explode(P.ancestors("path")).alias("path")).distinct(), "touched")
+        apply("file", files)
         labelled = lambda df, label: df.select(F.lit(label).alias("label"), "name", "summary", "parent_path")
         deepest = t["folder"].agg(F.max(P.depth("path"))).head()[0]
         for level in range(deepest if deepest is not None else -1, -1, -1):  # children before parents
             children = labelled(t["file"], "File").unionByName(labelled(t["folder"], "Folder"))
-            prompts = enrich.folder_prompts(children.filter(P.depth("parent_path") == level).filter(F.col("parent_path") != self.root))
-            done = enrich.summarize(prompts, ["parent_path"], summarizer).withColumnRenamed("parent_path", "path")
-            t["folder"] = cut(enrich.apply_summaries(t["folder"], done, ["path"]), "enrich")
-        top = labelled(t["file"], "File").unionByName(labelled(t["folder"], "Folder")).filter(F.col("parent_path") == self.root)
-        name = t["project"].head().name
-        t["project"] = cut(enrich.apply_summaries(t["project"], enrich.summarize(enrich.project_prompt(top, name), ["name"], summarizer), ["name"]), "enrich")
+            prompts = enrich.folder_prompts(children.filter((P.depth("parent_path") == level) & (F.col("parent_path") != self.root))).withColumnRenamed("parent_path", "path")
+            apply("folder", prompts if folders is None else prompts.join(folders, "path", "left_semi"))
+        if folders is None or not (folders.isEmpty() and touched.isEmpty()):
+            top = labelled(t["file"], "File").unionByName(labelled(t["folder"], "Folder")).filter(F.col("parent_path") == self.root)
+            apply("project", enrich.project_prompt(top, t["project"].head().name).select(F.lit(self.root).alias("path"), "prompt"))
         labels = ("project", "folder", "file", "function")
         found = cut(enrich.embed(enrich.needs_embedding({x: (t[x], NODE_KEYS[x]) for x in labels}), embedder), "embeddings")
         for x in labels:

@@ -93,6 +93,29 @@ def extract(sources: DataFrame, extractor: Extractor = scan_c) -> tuple[DataFram
     return spans, both.filter("included is not null").select(F.col("file").alias("including"), "included").distinct()
 
 
+# What stands in C++ only. Words of the language, scopes, references, casts and access labels.
+CPP_ONLY = r"\b(?:namespace|template|class|typename|virtual|operator|using|friend|explicit|constexpr|nullptr|mutable|decltype|noexcept|static_cast|dynamic_cast|reinterpret_cast|const_cast)\b|\b(?:public|private|protected)\s*:|\w::|=\s*(?:default|delete)\s*;|\w\s*&\s*\w+\s*[,)]"
+
+
+def has_cpp(text: str | None) -> bool:
+    """Whether a text without comments, strings and preprocessor lines holds what C does not have."""
+    return bool(text) and re.search(CPP_ONLY, _blanked(text)) is not None
+
+
+def header_languages(sources: DataFrame) -> DataFrame:
+    """(path, language) of headers: C++ if C++ sources lie beside it, else C if C sources do, else by its text; unreadable ones are C."""
+    folder = F.regexp_replace("path", "/?[^/]*$", "")
+    beside = sources.select(folder.alias("folder"), F.col("path").rlike(r"(?i)\.(cpp|cc|cxx)$").alias("cpp"), F.col("path").rlike(r"(?i)\.c$").alias("c")).groupBy("folder").agg(F.bool_or("cpp").alias("cpp"), F.bool_or("c").alias("c"))
+    headers = sources.filter(F.col("path").rlike(r"(?i)\.h$")).withColumn("folder", folder).join(beside, "folder")
+
+    def by_text(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"path": frame["path"], "language": ["C++" if has_cpp(t) else "C" for t in frame["text"]]})
+
+    known = headers.filter("cpp or c").select("path", F.when(F.col("cpp"), "C++").otherwise("C").alias("language"))
+    return known.unionByName(headers.filter("not cpp and not c").select("path", "text").mapInPandas(by_text, "path string, language string"))
+
+
 # Compiler flags that name an output and take an operand, and flags that only concern output.
 WITH_OPERAND = ("-o", "-MF", "-MT", "-MQ")
 WITHOUT_OPERAND = ("-c", "-MD", "-MMD", "-MP", "-fcolor-diagnostics", "-fdiagnostics-color")

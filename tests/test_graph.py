@@ -1,3 +1,5 @@
+import zlib
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -61,17 +63,23 @@ def test_save_and_load(spark, built, tmp_path):
 
 def test_enrichment_rolls_up(spark, built):
     sources = spark.createDataFrame([(p, "".join(f"line {i}\n" for i in range(20))) for p in ("a/x.c", "a/y.c", "b/z.c", "r.c")], "path string, text string")
-    seen = []
-    echo = lambda prompts: [f"about {len(p)}" for p in prompts]
+    echo = lambda prompts: [f"about {zlib.crc32(p.encode())}" for p in prompts]
     done = built.enrich(sources, echo)
     t = done.tables
     assert {r.id for r in t["function"].filter("code_summary is not null").collect()} == {"F", "G", "H1", "H2", "R"}
     assert t["file"].filter("summary is not null").count() == 4 and rows(t["folder"].filter("summary is not null"), "path") == [("a",), ("b",)]
     assert t["project"].head().summary.startswith("about") and len(t["project"].head().summary_embedding) == 384
     q = t["function"].filter("id = 'F'").select("id", "summary_embedding")
-    assert done.search(q, k=2).count() == 2 and not seen
+    assert done.search(q, k=2).count() == 2
     assert rows(done.impact(spark.createDataFrame([("b/m.h",)], "path string")), "node") == [("a/x.c",), ("b/k.h",), ("b/m.h",), ("b/z.c",)]
 
+    # Again for one function: its file, the folder above and the project follow, nothing else.
+    shorter = sources.withColumn("text", F.when(F.col("path") == "a/y.c", F.lit("other\ntext\n")).otherwise(F.col("text")))
+    again = done.enrich(shorter, echo, only=spark.createDataFrame([("H1",)], "id string"), changed=spark.createDataFrame([("deleted", "b/none.c")], "change_type string, path string"))
+    differs = lambda kind, key: {r[0] for r in again.tables[kind].select(key, "summary").exceptAll(t[kind].select(key, "summary")).collect()}
+    assert differs("function", "id") == {"H1"} and differs("file", "path") == {"a/y.c"} and differs("folder", "path") == {"a"} and differs("project", "path") == {"/p"}
+    assert again.tables["function"].filter("summary is not null and summary_embedding is null").count() == 0
+
 
 def test_failed_summaries_keep_the_old_value(spark):
     nodes_ = spark.createDataFrame([("a", "old", [1.0]), ("b", "same", [1.0])], "id string, summary string, summary_embedding array<float>")

@@ -101,6 +101,9 @@ def test_manifest_survives_failures(spark, tmp_path):
     assert values() == [1, 2]
     assert take("b3") and values() == [1, 2, 3]
     assert not take("b4")
+    put("large.parquet", [4])
+    assert Manifest(spark, root, hash_bytes=0).run("b5", [f"file://{source}"], read, ".parquet") and 4 in values()
+    assert not take("b6")
 
 
 def test_stream_takes_every_file_once(spark, tmp_path):

@@ -88,6 +88,12 @@ def test_scanner(spark, tmp_path):
     assert [(r.including, r.included) for r in includes.collect()] == [(f"{tmp_path}/d/x.c", f"{tmp_path}/d/k.h")]
 
 
+def test_header_languages(spark):
+    rows = [("/a/x.h", "class C {};"), ("/a/x.c", ""), ("/b/y.h", "int f(void);"), ("/b/y.CPP", ""), ("/c/p.h", "// class\n#define class x\nint f(int a, int b); char *s = \"std::x\";"), ("/c/q.h", "namespace n { }"), ("/c/r.h", None), ("/c/s.h", "void f(int &x);"), ("/c/t.h", "int m = a & b;")]
+    got = {r.path: r.language for r in code.header_languages(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == {"/a/x.h": "C", "/b/y.h": "C++", "/c/p.h": "C", "/c/q.h": "C++", "/c/r.h": "C", "/c/s.h": "C++", "/c/t.h": "C"}
+
+
 def test_a_failing_extractor_drops_only_its_file(spark):
     def fail(path, text):
         if path == "/b.c":
