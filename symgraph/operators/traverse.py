@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from symgraph.functions import paths as P
-from symgraph.session import cut
+from symgraph.session import cut, shared_dir
 
 
 def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
     """(seed, node): nodes from which a path of one edge or more leads to a seed; a seed on a cycle reaches itself.
 
-    Semi-naive rounds: only pairs that are new meet the edges again. Each round is a written
-    table, so lineage stays flat and lost executors do not restart the loop.
+    Semi-naive rounds of two edges: only pairs that are new meet the edges again. Each round is
+    one job that writes its new pairs and counts them on the way, so lineage and plans stay
+    flat and lost executors do not restart the loop. Null ends and seeds take no part.
     """
-    back = cut(edges.select(F.col(dst).alias("_to"), F.col(src).alias("_from")).distinct(), "edges")
-    front = cut(seeds.select(F.col(seeds.columns[0]).alias("seed")).distinct().join(back, F.col("seed") == F.col("_to")).select("seed", F.col("_from").alias("node")).distinct(), "reach")
-    seen = front
-    for _ in range(max_rounds):
-        if front.isEmpty():
-            return seen
-        step = front.join(back, front["node"] == back["_to"]).select("seed", F.col("_from").alias("node")).distinct()
-        front = cut(step.join(seen, ["seed", "node"], "left_anti"), "reach")
-        seen = seen.unionByName(front)
+    spark = edges.sparkSession
+    back = cut(edges.select(F.col(dst).alias("_to"), F.col(src).alias("_from")).dropna().distinct(), "edges")
+    start = seeds.select(F.col(seeds.columns[0]).alias("seed")).dropna().distinct()
+    root, schema = shared_dir(spark, "reach"), T.StructType([T.StructField("seed", start.schema["seed"].dataType), T.StructField("node", back.schema["_from"].dataType)])
+    read = lambda rounds: spark.read.schema(schema).parquet(*[f"{root}/{r}" for r in rounds])
+    hop = lambda pairs, at: pairs.join(back, pairs[at] == back["_to"]).select("seed", F.col("_from").alias("node"))
+
+    def write(pairs: DataFrame, no: int) -> int:
+        seen = Observation()
+        pairs.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/{no}")
+        return seen.get["n"]
+
+    new = write(hop(start, "seed").distinct(), 0)
+    for no in range(max_rounds):
+        if not new:
+            return read(range(no + 1))
+        one = hop(read([no]), "node").distinct()
+        new = write(one.unionByName(hop(one, "node")).distinct().join(read(range(no + 1)), ["seed", "node"], "left_anti"), no + 1)
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 
