@@ -365,6 +365,37 @@ def dirty_symbols(s, d):
     return changes.dirty_symbols(V.symbols(s, d), dirty).select("id")
 
 
+# Updates: changes with the files that they reach over includes. The queries above take the listed changes alone.
+
+
+def _update_scope(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(folded changes, dirty files) per commit; dirty are added and modified files and those of the
+    commit's project that include, over any number of files, a header that it modifies or deletes."""
+    folded = changes.fold(_changes(s, d), _COMMIT)
+    headers = changes.changed_headers(folded).select(*_COMMIT, P.joined("project_path", "path").alias("seed")).distinct()
+    reached = traverse.impact(V.includes(s, d), headers.select("seed"), "including", "included")
+    inside = reached.join(headers, "seed").filter(P.in_project("node", "project_path"))
+    impacted = inside.select(*_COMMIT, P.relative("node", "project_path").alias("path"))
+    return folded, changes.dirty_files(folded, _COMMIT, impacted)
+
+
+@query
+def update_dirty_files(s, d):
+    return _update_scope(s, d)[1]
+
+
+@query
+def update_purge_scope(s, d):
+    folded, dirty = _update_scope(s, d)
+    return changes.purge_scope(folded, _COMMIT, dirty)
+
+
+@query
+def update_dirty_symbols(s, d):
+    dirty = _update_scope(s, d)[1].select(P.joined("project_path", "path").alias("path"))
+    return changes.dirty_symbols(V.symbols(s, d), dirty).select("id")
+
+
 # Enrichment
 
 

@@ -70,6 +70,10 @@ sng as (select l.project_path, l.commit_hash, l.change_type, l.path from lst l l
 fold as (select * from sng union select project_path, commit_hash, 'added', path from prs union select project_path, commit_hash, 'deleted', original from prs where change_type = 'renamed_exact'),
 del as (select distinct project_path, commit_hash, path from fold where change_type = 'deleted'),
 dirty as (select distinct f.project_path, f.commit_hash, f.path from fold f left join del d on d.project_path = f.project_path and d.commit_hash = f.commit_hash and d.path = f.path where f.change_type in ('added', 'modified') and d.path is null)"""
+UPDATE = f"""{FOLD}, {REACH}, hdr as (select distinct project_path, commit_hash, project_path || '/' || path as seed from fold where change_type in ('modified', 'deleted') and path like '%.h'),
+imp as (select h.project_path, h.commit_hash, substr(r.node, length(h.project_path) + 2) as path from hdr h join reach r on r.seed = h.seed and starts_with(r.node, h.project_path || '/')),
+udirty as (select * from dirty union (select * from imp except select * from del)),
+uscope as (select * from udirty union select * from del)"""
 CONTEXT = """callers as (select c.callee_id as id, string_agg(distinct s.name, ',' order by s.name) as callers from cl c join rws s on s.id = c.caller_id and s.kind = 'Function' group by 1),
 callees as (select c.caller_id as id, string_agg(distinct s.name, ',' order by s.name) as callees from cl c join rws s on s.id = c.callee_id and s.kind = 'Function' group by 1),
 ctx as (select f.id, coalesce(a.callers, '') as callers, coalesce(b.callees, '') as callees from (select id from rws where kind = 'Function') f left join callers a on a.id = f.id left join callees b on b.id = f.id)"""
@@ -135,6 +139,9 @@ ORACLE = {
     "dirty_files": f"with {FOLD} select * from dirty",
     "purge_scope": f"with {FOLD} select project_path, commit_hash, path from dirty union select * from del",
     "dirty_symbols": f"with {SYM}, {FOLD} select id from sym where {_path('definition.file_uri')} in (select project_path || '/' || path from dirty)",
+    "update_dirty_files": f"with recursive {UPDATE} select * from udirty",
+    "update_purge_scope": f"with recursive {UPDATE} select * from uscope",
+    "update_dirty_symbols": f"with recursive {SYM}, {UPDATE} select id from sym where {_path('definition.file_uri')} in (select project_path || '/' || path from udirty)",
     "needs_code_summary": f"with {FNODES} select id from fnode where coalesce(code_summary, '') = '' and body_location is not null",
     "needs_summary": f"with {FNODES} select id from fnode where coalesce(code_summary, '') <> '' and coalesce(summary, '') = ''",
     "needs_embedding": f"with {FNODES} select 'FUNCTION' as label, id as key, summary from fnode where coalesce(summary, '') <> '' and summary_embedding is null union all select 'PROJECT', path, summary from project where coalesce(summary, '') <> '' and summary_embedding is null",
