@@ -14,18 +14,33 @@ nothing. Two files of equal content count once, the smaller path first.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import hashlib
+import re
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 LISTING = T.StructType([T.StructField("path", T.StringType()), T.StructField("size", T.LongType()), T.StructField("modified_ms", T.LongType())])
 MANIFEST = T.StructType([*LISTING.fields, T.StructField("checksum", T.StringType()), T.StructField("batch_id", T.StringType())])
 
 
-#: Files up to this size are hashed by content; a larger one is told by path, size and modification time.
+SUMS = T.StructType([T.StructField("_p", T.StringType()), T.StructField("checksum", T.StringType())])
+
+#: Files up to this size are read whole to be hashed, larger ones in parts; the checksum is the same.
 HASH_BYTES = 1 << 30
 
 
+def _streamed_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """SHA-256 of files on a file system that every executor has mounted, in parts of fixed size."""
+    for batch in batches:
+        sums = []
+        for p in batch["_p"]:
+            with open(re.sub("^file:/+", "/", p), "rb") as f:
+                sums.append(hashlib.file_digest(f, "sha256").hexdigest())
+        yield pd.DataFrame({"_p": batch["_p"], "checksum": sums})
+
+
 class Manifest:
     """State of one incremental input under a folder: ``manifest/`` and ``data/``, a subfolder per batch."""
 
@@ -65,16 +80,32 @@ class Manifest:
         """Files still to be processed, with the checksum of their content."""
         done = self.processed()
         new = self.listing(inputs, suffix).join(done.select("path", "size", "modified_ms"), ["path", "size", "modified_ms"], "left_anti")
-        large = new.filter(F.col("size") > self.hash_bytes).withColumn("checksum", F.sha2(F.concat_ws("|", "path", "size", "modified_ms"), 256))
-        paths = [r.path for r in new.filter(F.col("size") <= self.hash_bytes).select("path").toLocalIterator()]
-        if paths:
-            sums = self.spark.read.format("binaryFile").load(paths).select(F.col("path").alias("_p"), F.sha2("content", 256).alias("checksum"))
-            bare = lambda c: F.regexp_replace(F.col(c), "^file:/+", "file:/")
-            large = large.unionByName(new.join(sums, bare("path") == bare("_p")).drop("_p"))
-        new = large.join(done.select("checksum"), "checksum", "left_anti")
+        small, large = [], []
+        for r in new.select("path", "size").toLocalIterator():
+            (small if r.size <= self.hash_bytes else large).append(r.path)
+        sums = self._large_sums(large)
+        if small:
+            sums = sums.unionByName(self.spark.read.format("binaryFile").load(small).select(F.col("path").alias("_p"), F.sha2("content", 256).alias("checksum")))
+        bare = lambda c: F.regexp_replace(F.col(c), "^file:/+", "file:/")
+        new = new.join(sums, bare("path") == bare("_p")).drop("_p").join(done.select("checksum"), "checksum", "left_anti")
         first = W.partitionBy("checksum").orderBy("path")
         return new.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select("path", "size", "modified_ms", "checksum")
 
+    def _large_sums(self, paths: list[str]) -> DataFrame:
+        """(_p, checksum) of files that are too large to be read whole: on the executors, or as a stream through the driver from a remote file system."""
+        shared = [p for p in paths if p.startswith("file:")]
+        done = [(p, self._streamed_sum(p)) for p in paths if not p.startswith("file:")]
+        sums = self.spark.createDataFrame(done, SUMS)
+        return sums.unionByName(self.spark.createDataFrame([(p, None) for p in shared], SUMS).mapInPandas(_streamed_sums, SUMS)) if shared else sums
+
+    def _streamed_sum(self, path: str) -> str:
+        fs, p = self._fs(path)
+        stream = fs.open(p)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+
     def run(self, batch_id: str, inputs: Iterable[str], process: Callable[[list[str]], DataFrame], suffix: str = "") -> bool:
         """Process what is pending as one batch; False if the batch is already committed or nothing is new."""
         if batch_id in self.committed():

@@ -1,3 +1,5 @@
+import hashlib
+import os
 from datetime import datetime as D, timedelta
 
 import pytest
@@ -106,6 +108,22 @@ def test_manifest_survives_failures(spark, tmp_path):
     assert not take("b6")
 
 
+def test_large_files_are_known_by_content(spark, tmp_path):
+    source, root = tmp_path / "in", f"file://{tmp_path}/state"
+    source.mkdir()
+    spark.createDataFrame([(1,)], "x int").coalesce(1).write.parquet(f"file://{tmp_path}/w")
+    next((tmp_path / "w").glob("*.parquet")).rename(source / "a.parquet")
+    take = lambda batch, size: Manifest(spark, root, hash_bytes=size).run(batch, [f"file://{source}"], lambda files: spark.read.parquet(*files), ".parquet")
+    assert take("b0", 0)
+    (source / "z.parquet").write_bytes((source / "a.parquet").read_bytes())
+    os.utime(source / "a.parquet", (1, 1))
+    assert not take("b1", 0) and not take("b2", 1 << 30)
+    want = hashlib.sha256((source / "a.parquet").read_bytes()).hexdigest()
+    manifest = Manifest(spark, root)
+    assert [r.checksum for r in manifest.processed().collect()] == [want] and manifest._streamed_sum(f"file://{source}/a.parquet") == want
+    assert manifest.data().count() == 1
+
+
 def test_stream_takes_every_file_once(spark, tmp_path):
     from symgraph.streaming.commits import stream_changes
 
