@@ -56,9 +56,11 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def commit_manifest(spark: SparkSession, d: str) -> Manifest:
-    """Takes what is new in git_changes into the ledger, as one batch."""
-    manifest = Manifest(spark, shared_dir(spark, "commits"))
-    manifest.run("batch-0", [f"{d}/git_changes.parquet"], lambda files: increments.commit_ledger(spark.read.parquet(*files)), ".parquet")
+    """Takes git_changes into the ledger in two arrivals: the first half of its files, then whatever of the whole listing the manifest does not hold."""
+    manifest, source = Manifest(spark, shared_dir(spark, "commits")), f"{d}/git_changes.parquet"
+    files = sorted(r.path for r in manifest.listing([source], ".parquet").collect())  # names of files, not data
+    for no, arrived in enumerate((files[: (len(files) + 1) // 2], [source])):
+        manifest.run(f"batch-{no}", arrived, lambda files: increments.commit_ledger(spark.read.parquet(*files)), ".parquet")
     return manifest
 
 

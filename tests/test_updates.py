@@ -3,8 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from symgraph.plans import registry
+from symgraph.plans import general, registry
 
 CHANGE = "project_path string, commit_hash string, added array<string>, modified array<string>, deleted array<string>, renamed_exact array<struct<original: string, new: string>>, copied_exact array<struct<original: string, new: string>>"
 INCLUDES = [("/p/a.c", "/p/h.h"), ("/p/h.h", "/p/k.h"), ("/q/x.c", "/p/k.h"), ("/p/far.c", "/q/x.c"), ("/p/b.c", "/p/gone.h"), ("/p/alone.c", "/p/other.h"), ("/pp/s.c", "/p/k.h")]
@@ -25,3 +26,14 @@ def test_dirty_files_hold_what_a_header_reaches(spark, tables):
     assert got == [("1", "a.c"), ("1", "far.c"), ("1", "h.h"), ("1", "k.h"), ("2", "n.c"), ("3", "a.c"), ("3", "b.c"), ("4", "k.h"), ("4", "x.c")]
     scope = sorted((r.commit_hash, r.path) for r in registry.queries()["update_purge_scope"](spark, tables).collect())
     assert scope == sorted([*got, ("2", "b.c"), ("2", "gone.h"), ("3", "gone.h")])
+
+
+def test_commits_arrive_in_batches(spark, tmp_path):
+    commits = [("/p", str(i), [f"{i}.c"], None, None) for i in range(4)]
+    rows = spark.createDataFrame(commits, "project_path string, commit_hash string, added array<string>, modified array<string>, at string").withColumn("loaded_at", F.to_timestamp(F.coalesce("at", F.lit("2026-01-01"))))
+    rows.repartitionByRange(4, "commit_hash").write.parquet(f"{tmp_path}/many/git_changes.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one/git_changes.parquet")
+    for d, batches in (("many", 2), ("one", 1)):
+        manifest = general.commit_manifest(spark, f"{tmp_path}/{d}")
+        assert len(manifest.committed()) == batches
+        assert sorted(r.path for r in manifest.data().collect()) == ["0.c", "1.c", "2.c", "3.c"]
