@@ -396,6 +396,29 @@ def update_dirty_symbols(s, d):
     return changes.dirty_symbols(V.symbols(s, d), dirty).select("id")
 
 
+def _update_gone(s: SparkSession, d: str) -> DataFrame:
+    """(path), absolute: files that some commit purges."""
+    folded, dirty = _update_scope(s, d)
+    return changes.purge_scope(folded, _COMMIT, dirty).select(P.joined("project_path", "path").alias("path")).distinct()
+
+
+@query
+def update_purge_symbols(s, d):
+    kept, _, _ = store.purge_symbols(_functions(s, d).select("id"), _absolute_defines(s, d), {}, _update_gone(s, d))
+    return kept
+
+
+@query
+def update_purge_call_edges(s, d):
+    _, _, edges = store.purge_symbols(_functions(s, d).select("id"), _absolute_defines(s, d), {"calls": (_calls(s, d), ["caller_id", "callee_id"])}, _update_gone(s, d))
+    return edges["calls"]
+
+
+@query
+def update_purge_includes(s, d):
+    return store.purge_includes(V.includes(s, d), _update_gone(s, d))
+
+
 # Enrichment
 
 

@@ -74,6 +74,7 @@ UPDATE = f"""{FOLD}, {REACH}, hdr as (select distinct project_path, commit_hash,
 imp as (select h.project_path, h.commit_hash, substr(r.node, length(h.project_path) + 2) as path from hdr h join reach r on r.seed = h.seed and starts_with(r.node, h.project_path || '/')),
 udirty as (select * from dirty union (select * from imp except select * from del)),
 uscope as (select * from udirty union select * from del)"""
+UPDATE_GONE = f"{UPDATE}, ugonef as (select distinct project_path || '/' || path as path from uscope), ugone as (select d.id from def d where d.project_path || '/' || d.file_path in (select path from ugonef))"
 CONTEXT = """callers as (select c.callee_id as id, string_agg(distinct s.name, ',' order by s.name) as callers from cl c join rws s on s.id = c.caller_id and s.kind = 'Function' group by 1),
 callees as (select c.caller_id as id, string_agg(distinct s.name, ',' order by s.name) as callees from cl c join rws s on s.id = c.callee_id and s.kind = 'Function' group by 1),
 ctx as (select f.id, coalesce(a.callers, '') as callers, coalesce(b.callees, '') as callees from (select id from rws where kind = 'Function') f left join callers a on a.id = f.id left join callees b on b.id = f.id)"""
@@ -142,6 +143,9 @@ ORACLE = {
     "update_dirty_files": f"with recursive {UPDATE} select * from udirty",
     "update_purge_scope": f"with recursive {UPDATE} select * from uscope",
     "update_dirty_symbols": f"with recursive {SYM}, {UPDATE} select id from sym where {_path('definition.file_uri')} in (select project_path || '/' || path from udirty)",
+    "update_purge_symbols": f"with recursive {_GRAPH[5:]}, {UPDATE_GONE} select id from rws where kind = 'Function' and id not in (select id from ugone)",
+    "update_purge_call_edges": f"with recursive {_GRAPH[5:]}, {UPDATE_GONE}, {SITES} select * from cl where caller_id not in (select id from ugone) and callee_id not in (select id from ugone)",
+    "update_purge_includes": f"with recursive {UPDATE} select including, included from inc where including not in (select project_path || '/' || path from uscope)",
     "needs_code_summary": f"with {FNODES} select id from fnode where coalesce(code_summary, '') = '' and body_location is not null",
     "needs_summary": f"with {FNODES} select id from fnode where coalesce(code_summary, '') <> '' and coalesce(summary, '') = ''",
     "needs_embedding": f"with {FNODES} select 'FUNCTION' as label, id as key, summary from fnode where coalesce(summary, '') <> '' and summary_embedding is null union all select 'PROJECT', path, summary from project where coalesce(summary, '') <> '' and summary_embedding is null",

@@ -28,6 +28,11 @@ def test_dirty_files_hold_what_a_header_reaches(spark, tables):
     assert scope == sorted([*got, ("2", "b.c"), ("2", "gone.h"), ("3", "gone.h")])
 
 
+def test_includes_of_dirty_files_are_purged(spark, tables):
+    got = sorted((r.including, r.included) for r in registry.queries()["update_purge_includes"](spark, tables).collect())
+    assert got == [("/p/alone.c", "/p/other.h"), ("/pp/s.c", "/p/k.h")]
+
+
 def test_commits_arrive_in_batches(spark, tmp_path):
     commits = [("/p", str(i), [f"{i}.c"], None, None) for i in range(4)]
     rows = spark.createDataFrame(commits, "project_path string, commit_hash string, added array<string>, modified array<string>, at string").withColumn("loaded_at", F.to_timestamp(F.coalesce("at", F.lit("2026-01-01"))))
