@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.functions.text import symbol_key
@@ -56,11 +59,22 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def commit_manifest(spark: SparkSession, d: str) -> Manifest:
-    """Takes git_changes into the ledger in two arrivals: the first half of its files, then whatever of the whole listing the manifest does not hold."""
-    manifest, source = Manifest(spark, shared_dir(spark, "commits")), f"{d}/git_changes.parquet"
-    files = sorted(r.path for r in manifest.listing([source], ".parquet").collect())  # names of files, not data
-    for no, arrived in enumerate((files[: (len(files) + 1) // 2], [source])):
-        manifest.run(f"batch-{no}", arrived, lambda files: increments.commit_ledger(spark.read.parquet(*files)), ".parquet")
+    """The manifest of git_changes, brought up to date: what arrived in each half-year is a delivery and a batch of its own.
+
+    The state has one place for each version of the table (names, sizes and times of its
+    files), so a second call finds all batches committed and reads nothing, a call after a
+    failure goes on with the batch that did not commit, and a table that is replaced under its
+    path starts anew.
+    """
+    source = f"{d}/git_changes.parquet"
+    files = sorted(map(tuple, Manifest(spark, "").listing([source], ".parquet").collect()))  # names of files, not data
+    state = shared_dir(spark, "commits", hashlib.sha256(repr(files).encode()).hexdigest()[:32])
+    manifest, arrivals = Manifest(spark, f"{state}/ledger"), f"{state}/arrivals"
+    if not manifest.exists(f"{arrivals}/_SUCCESS"):
+        half = F.concat(F.year("loaded_at").cast("string"), F.when(F.month("loaded_at") <= 6, "a").otherwise("b"))
+        table(spark, d, "git_changes").withColumn("arrival", F.coalesce(half, F.lit("none"))).write.mode("overwrite").partitionBy("arrival").parquet(arrivals)
+    for name in manifest.folders(arrivals):
+        manifest.run(name.replace("=", "-"), [f"{arrivals}/{name}"], lambda files: increments.commit_ledger(spark.read.parquet(*files)), ".parquet")
     return manifest
 
 
@@ -69,6 +83,19 @@ def _ledger(spark: SparkSession, d: str) -> DataFrame:
     return got if got is not None else increments.commit_ledger(table(spark, d, "git_changes").limit(0))
 
 
+def p3_increments(spark: SparkSession, d: str) -> DataFrame:
+    """(batch_id, n_rows, n_commits, n_pending): what each batch of git_changes wrote, and how many of its files a further run would read."""
+    manifest = commit_manifest(spark, d)
+    parts = [manifest.data(b).withColumn("batch_id", F.lit(b)) for b in manifest.committed()]
+    if not parts:
+        return spark.createDataFrame([], "batch_id string, n_rows long, n_commits long, n_pending long")
+    arrivals = manifest.root.removesuffix("ledger") + "arrivals"
+    batch = F.concat(F.lit("arrival-"), F.regexp_extract("path", "/arrival=([^/]*)/", 1))
+    again = manifest.pending([arrivals], ".parquet").groupBy(batch.alias("batch_id")).agg(F.count("*").alias("n_pending"))
+    per = reduce(DataFrame.unionByName, parts).groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.count_distinct("project_path", "commit_hash").alias("n_commits"))
+    return per.join(again, "batch_id", "left").select("batch_id", "n_rows", "n_commits", F.coalesce("n_pending", F.lit(0)).cast("long").alias("n_pending"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return increments.paths_by_run(_ledger(spark, d), table(spark, d, "update_runs"))
 
@@ -113,7 +140,7 @@ def p4_symbols(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_report, p3_found, p3_unclaimed, p4_found, p4_references, p4_headers, p4_symbols)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_report, p3_found, p3_unclaimed, p3_increments, p4_found, p4_references, p4_headers, p4_symbols)}
 
 _KEY = "upper(trim({}, ' \t'))"
 _LIVE = f"lives as materialized (select {_KEY.format('id')} as k, loaded_at as f, removed_at as u from symbols union all select {_KEY.format('id')}, loaded_at, null from system_symbols)"
@@ -168,6 +195,9 @@ ORACLE = {
     "p2_report": f"with {_CHANGES} select project_path, snapshot_no, change_kind, count(*) as n_keys from changes group by 1, 2, 3",
     "p3_found": f"""with {_CLAIMS}, paths as (select project_path, commit_hash, unnest(added) as path from git_changes union select project_path, commit_hash, unnest(modified) from git_changes)
         select distinct c.run_id, p.path from claims c join paths p on p.project_path = c.project_path and p.commit_hash = c.commit_hash where p.path is not null and p.path <> ''""",
+    "p3_increments": """with ok as (select *, row_number() over () as r from git_changes where project_path is not null and commit_hash is not null and loaded_at is not null),
+        paths as (select r, count(*) as n from (select r, unnest(added) as path from ok union select r, unnest(modified) from ok) p where path is not null and path <> '' group by r)
+        select 'arrival-' || year(loaded_at) || case when month(loaded_at) <= 6 then 'a' else 'b' end as batch_id, sum(coalesce(n, 1))::bigint as n_rows, count(distinct (project_path, commit_hash)) as n_commits, 0::bigint as n_pending from ok left join paths on ok.r = paths.r group by 1""",
     "p3_unclaimed": f"with {_CLAIMS} select f.project_path, f.commit_hash from firsts f left join claims c on c.project_path = f.project_path and c.commit_hash = f.commit_hash where c.run_id is null",
     "p4_found": f"""with {_ELEMENTS.format(field='References')}
         select doc_seq, pos as ref_pos, symbol_id from elements where json_type(e) = 'OBJECT' and json_type(e, '$.Location') = 'OBJECT' and json_type(e, '$.Kind') is not null and json_type(e, '$.Kind') <> 'NULL'""",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,11 +26,11 @@ def local_session(cpus: int = 8, app: str = "symgraph", **conf: str) -> SparkSes
     return spark
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder that every executor can reach.
+def shared_dir(spark: SparkSession, purpose: str, name: str | None = None) -> str:
+    """A folder that every executor can reach: a new one, or with a name the same one whenever it is asked for.
 
     It lies in ``spark.checkpoint.dir``; only where that is unset (tests, a laptop)
-    a local temporary folder is made and set as the checkpoint folder.
+    a local temporary folder is made, set as the checkpoint folder, and deleted at the end.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -37,9 +39,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = "file://" + tempfile.mkdtemp(prefix="symgraph-")
+        folder = tempfile.mkdtemp(prefix="symgraph-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = f"file://{folder}"
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{purpose}-{name or uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, purpose: str) -> DataFrame:

@@ -33,12 +33,24 @@ def test_includes_of_dirty_files_are_purged(spark, tables):
     assert got == [("/p/alone.c", "/p/other.h"), ("/pp/s.c", "/p/k.h")]
 
 
-def test_commits_arrive_in_batches(spark, tmp_path):
-    commits = [("/p", str(i), [f"{i}.c"], None, None) for i in range(4)]
-    rows = spark.createDataFrame(commits, "project_path string, commit_hash string, added array<string>, modified array<string>, at string").withColumn("loaded_at", F.to_timestamp(F.coalesce("at", F.lit("2026-01-01"))))
-    rows.repartitionByRange(4, "commit_hash").write.parquet(f"{tmp_path}/many/git_changes.parquet")
-    rows.coalesce(1).write.parquet(f"{tmp_path}/one/git_changes.parquet")
-    for d, batches in (("many", 2), ("one", 1)):
-        manifest = general.commit_manifest(spark, f"{tmp_path}/{d}")
-        assert len(manifest.committed()) == batches
-        assert sorted(r.path for r in manifest.data().collect()) == ["0.c", "1.c", "2.c", "3.c"]
+def test_commits_arrive_in_batches(spark, tmp_path, monkeypatch):
+    commits = [("/p", str(i), [f"{i}.c"], None, f"202{4 + i // 2}-0{1 + 6 * (i % 2)}-03") for i in range(4)]
+    rows = spark.createDataFrame(commits, "project_path string, commit_hash string, added array<string>, modified array<string>, at string").withColumn("loaded_at", F.to_timestamp("at"))
+    rows.write.parquet(f"{tmp_path}/git_changes.parquet")
+    take, n = general.increments.commit_ledger, []
+
+    def breaks(changes):
+        n.append(1)
+        if len(n) == 3:
+            raise RuntimeError
+        return take(changes)
+
+    monkeypatch.setattr(general.increments, "commit_ledger", breaks)
+    with pytest.raises(RuntimeError):
+        general.commit_manifest(spark, str(tmp_path))
+    manifest = general.commit_manifest(spark, str(tmp_path))
+    assert len(n) == 5 and manifest.committed() == ["arrival-2024a", "arrival-2024b", "arrival-2025a", "arrival-2025b"]  # two before the failure, the failed one, and the two left
+    assert sorted(r.path for r in manifest.data().collect()) == ["0.c", "1.c", "2.c", "3.c"]
+    general.commit_manifest(spark, str(tmp_path))
+    assert len(n) == 5
+    assert [(r.n_rows, r.n_pending) for r in general.p3_increments(spark, str(tmp_path)).collect()] == [(1, 0)] * 4
