@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters at the end of a chunk in which a boundary may still be wrong: the longest contraction.
 MARGIN = 4
-CHUNK_CHARS = 8192
-OVERLAP_CHARS = 512
+CHUNK_CHARS = 2048
+OVERLAP_CHARS = 256
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -92,7 +92,10 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pieces(texts: DataFrame, chunk_chars: int, overlap: int) -> DataFrame:
     """(key, piece, text) of distinct long texts (key, text), cut where neighbouring chunks share a boundary.
 
-    A text of which some neighbours share none stays whole: its chunks cannot vouch for each other.
+    Where two chunks share none there is no cut, and only what lies on both sides up to the next
+    cuts is one piece. The chunk behind is right again before its own end, if it has a boundary there
+    at all: wherever it starts, a run of letters, of numbers or of other signs ends for it where it
+    ends for the whole text.
     """
     step = chunk_chars - overlap
     last = F.greatest(F.lit(0), F.ceil((F.char_length("text") - overlap) / F.lit(step)).cast("int") - 1)
@@ -101,9 +104,8 @@ def pieces(texts: DataFrame, chunk_chars: int, overlap: int) -> DataFrame:
     chunks = chunks.select("key", "no", start.alias("start"), F.when(F.col("no") == 0, 0).otherwise(overlap).alias("h"), F.lit(overlap).alias("l"), F.substring("text", start + 1, F.lit(chunk_chars)).alias("chunk"))
     edges = chunks.repartition("key", "no").mapInArrow(_edges, "key binary, no int, head array<int>, tail array<int>")
     shared = edges.withColumn("at", F.array_min(F.array_intersect("head", F.lag("tail").over(W.partitionBy("key").orderBy("no")))))
-    cuts = shared.groupBy("key").agg(F.sort_array(F.collect_list("at")).alias("cuts"), F.count("*").alias("n"))
-    starts = F.when(F.size("cuts") == F.col("n") - 1, F.concat(F.array(F.lit(0)), "cuts")).otherwise(F.array(F.lit(0)))
-    placed = texts.join(cuts.select("key", starts.alias("starts")), "key").select("key", "text", "starts", F.posexplode("starts").alias("piece", "at"))
+    cuts = shared.groupBy("key").agg(F.concat(F.array(F.lit(0)), F.sort_array(F.collect_list("at"))).alias("starts"))  # an int per chunk; seams without a boundary are null and fall out
+    placed = texts.join(cuts, "key").select("key", "text", "starts", F.posexplode("starts").alias("piece", "at"))
     end = F.coalesce(F.get("starts", F.col("piece") + 1), F.char_length("text"))
     return placed.select("key", "piece", F.substring("text", F.col("at") + 1, end - F.col("at")).alias("text"))
 

@@ -1,7 +1,10 @@
 import math
 from collections import defaultdict
 
+import numpy as np
+import pytest
 from hypothesis import given, strategies as st
+from pyspark.sql import functions as F
 
 from symgraph.llm import packing
 
@@ -34,9 +37,35 @@ def test_nothing_is_lost_and_bins_are_full(spark):
     assert bins[0] <= math.ceil(sum(s for _, s in sizes) / 512) * 1.01 + 1
 
 
-def test_bounded_carry_only_costs_room(spark):
+def _bins(size, capacity):
+    """Bins of one best-fit over everything."""
+    rest = np.where(size > capacity, size % capacity, size)
+    return int(np.where(size > capacity, size // capacity, 0).sum()) + max(packing.best_fit(rest[rest > 0].tolist(), capacity)) + 1
+
+
+def test_what_never_fits_together_ends(spark):
     sizes = [(i, 60) for i in range(400)]
-    _check(_packed(spark, sizes, [100], slot_rows=50, carry=3)[0], sizes, [100])
+    assert _check(_packed(spark, sizes, [100], slot_rows=50)[0], sizes, [100])[0] == 400
+
+
+@pytest.mark.parametrize("kind", ["halves", "log-normal", "long"])
+def test_many_slots_are_as_good_as_one(spark, kind):
+    rng = np.random.default_rng(5)
+    size = {"halves": lambda: rng.integers(200, 400, 51000), "log-normal": lambda: np.exp(rng.normal(4.5, 1.2, 51000)).astype(int), "long": lambda: rng.integers(1, 4000, 51000)}[kind]()
+    sizes = list(enumerate(size.tolist()))
+    many = _check(_packed(spark, sizes, [512, 2048], slot_rows=1000)[0], sizes, [512, 2048])
+    one = {b: _bins(size, c) for b, c in enumerate([512, 2048])}
+    assert all(many[b] <= one[b] * 1.01 + 1 for b in one)
+
+
+def test_check_finds_what_is_wrong(spark):
+    rows, items, budgets = _packed(spark, [(1, 250), (2, 30), (3, 60), (4, 10)], [100])
+    good = packing.pack(items, budgets)
+    assert tuple(packing.check(good, items, budgets).head()) == (0, 4, 0, 0, 0)
+    lost = good.filter("not (item_id = 1 and part_no = 1)")
+    assert tuple(packing.check(lost, items, budgets).head())[2:] == (0, 1, 0)
+    assert tuple(packing.check(good.unionByName(good.filter("item_id = 3")), items, budgets).head())[4] == 1
+    assert tuple(packing.check(good.withColumn("bin_id", F.lit("x")), items, budgets).head())[2] == 1
 
 
 def test_nulls_zeros_repeats_splits_and_nothing(spark):

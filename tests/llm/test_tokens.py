@@ -32,6 +32,13 @@ def test_hard_seams(spark):
     assert _ids(spark, texts, chunk_chars=60, overlap=20) == _want(texts)
 
 
+def test_a_bad_seam_joins_only_what_is_beside_it(spark):
+    text = "some words " * 30 + "a" * 200 + " and more words" * 40
+    df = spark.createDataFrame([(b"k", text)], "key binary, text string")
+    got = [r.text for r in tokens.pieces(df, 60, 20).orderBy("piece").collect()]
+    assert "".join(got) == text and max(map(len, got)) < 320 and len(got) > 15
+
+
 def test_long_repeated_texts_are_encoded_once_and_kept(spark):
     texts = ["some words here " * 40] * 5 + [None]
     assert _ids(spark, texts, chunk_chars=100, overlap=24) == _want(texts)
