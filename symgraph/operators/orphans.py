@@ -3,16 +3,19 @@
 A child value is a *direct* orphan if no row of the parent was alive under that key when
 the child was loaded. It is an *inherited* orphan if live parent rows exist, but each of
 them is itself an orphan (direct or inherited). Rounds of semi- and anti-joins go down the
-foreign-key graph until no round finds a new orphan row. If the graph has no cycle, its
-depth is known from the declaration, so the rounds are planned lazily in one go and
-Catalyst drops the rounds that a caller does not ask for; with a cycle (a table that
-refers to itself) each round is written to the shared folder and tested for emptiness.
+foreign-key graph, with or without cycles: the orphans of a round are written to the shared
+folder, and the next round looks only at the tables that refer to one of their tables, and
+there only at values that name a key of a row that became an orphan in the last round. It
+ends when no orphan of a round can itself be referred to.
 
 Defined results: null, '' and all-zero values are no references. A child row delivered
 more than once is judged by the delivery with the earliest load time (a null load time is
-the latest; of equal times the smallest values count). A child without any load time sees
-no parent row that needs one, so its references are direct orphans with a null month.
-Rows without a row id take no part. Empty tables give empty results.
+the latest; of equal times the smallest values count). A row of which the load time is null
+sees no parent row that needs one, so its references are direct orphans with a null month; a
+child table without a load time sees every parent row that there ever was. Keys compare
+without surrounding blanks, and in upper case unless their parent says ``exact``. Rows
+without a row id take no part. Empty tables give empty results. Rows on a cycle of which
+each lives by the next are no orphans.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from symgraph.functions.text import is_reference, symbol_key
+from symgraph.functions.text import is_reference, symbol_key, trimmed
 from symgraph.session import cut
 
 #: A key that holds more than this share of the references is salted.
@@ -41,9 +44,10 @@ class Parent:
     live_from: str | None = None
     live_to: str | None = None
     row_id: Column | None = None
+    exact: bool = False  # keys compare as they are written, but for blanks around them
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Child:
     """Rows with references: row_id identifies a record over its deliveries."""
 
@@ -77,7 +81,7 @@ def _salted(df: DataFrame, key: str, hot: list[str], by: str | None) -> DataFram
 
 def _alive(v: DataFrame, p: DataFrame) -> Column:
     at = v["loaded_at"]
-    return (v["ref_key"] == p["key"]) & (v["_salt"] == p["_salt"]) & (p["always"] | ((p["live_from"] <= at) & (at < p["live_to"])))
+    return (v["ref_key"] == p["key"]) & (v["_salt"] == p["_salt"]) & (p["always"] | v["any_time"] | ((p["live_from"] <= at) & (at < p["live_to"])))
 
 
 def _periods(lives: DataFrame) -> DataFrame:
@@ -97,18 +101,24 @@ def _lives(parents: list[Parent], with_row: bool = False) -> DataFrame:
         start = F.col(p.live_from) if p.live_from else F.lit(None).cast("timestamp")
         end = F.col(p.live_to) if p.live_to else F.lit(None).cast("timestamp")
         row = [F.lit(p.name).alias("parent_table"), (p.row_id if p.row_id is not None else F.lit(None)).cast("string").alias("parent_row")]
-        one = p.rows.select(symbol_key(p.key).alias("key"), start.cast("timestamp").alias("live_from"), end.cast("timestamp").alias("live_to"), F.lit(p.live_from is None).alias("always"), *(row if with_row else []))
+        one = p.rows.select(_key(p.key, p.exact).alias("key"), start.cast("timestamp").alias("live_from"), end.cast("timestamp").alias("live_to"), F.lit(p.live_from is None).alias("always"), *(row if with_row else []))
         out = one if out is None else out.unionByName(one)
     return out.filter(is_reference(F.col("key")) & (F.col("always") | F.col("live_from").isNotNull())).distinct()
 
 
-def reference_values(child: Child) -> DataFrame:
-    """One row per record and field that names something: (src_table, ref_field, row_id, ref_key, loaded_at)."""
+def _key(c: str, exact: bool) -> Column:
+    return trimmed(c) if exact else symbol_key(c)
+
+
+def reference_values(child: Child, groups: dict[str, list[Parent]]) -> DataFrame:
+    """One row per record and field that names something: (src_table, ref_field, row_id, ref_key, loaded_at, any_time)."""
     at = F.col(child.loaded_at).cast("timestamp") if child.loaded_at else F.lit(None).cast("timestamp")
-    rows = child.rows.select(child.row_id.alias("row_id"), at.alias("_at"), *[symbol_key(f).alias(f"_f{i}") for i, f in enumerate(child.fields)])
+    values = [_key(f, any(p.exact for p in groups[g])).alias(f"_f{i}") for i, (f, g) in enumerate(child.fields.items())]
+    rows = child.rows.select(child.row_id.alias("row_id"), at.alias("_at"), *values)
     first = rows.filter(F.col("row_id").isNotNull()).groupBy("row_id").agg(F.min(F.struct(F.col("_at").isNull().alias("late"), "_at", *[f"_f{i}" for i in range(len(child.fields))])).alias("r"))
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("ref_field"), F.col(f"r._f{i}").alias("ref_key")) for i, f in enumerate(child.fields)]))
-    return first.select("row_id", F.col("r._at").alias("loaded_at"), each.alias("v")).select(F.lit(child.name).alias("src_table"), "v.ref_field", F.col("row_id").cast("string").alias("row_id"), "v.ref_key", "loaded_at").filter(is_reference(F.col("ref_key")))
+    named = first.select("row_id", F.col("r._at").alias("loaded_at"), each.alias("v")).select(F.lit(child.name).alias("src_table"), "v.ref_field", F.col("row_id").cast("string").alias("row_id"), "v.ref_key", "loaded_at")
+    return named.filter(is_reference(F.col("ref_key"))).withColumn("any_time", F.lit(child.loaded_at is None))
 
 
 def _without(values: DataFrame, lives: DataFrame, hot: list[str], how: str) -> DataFrame:
@@ -116,62 +126,43 @@ def _without(values: DataFrame, lives: DataFrame, hot: list[str], how: str) -> D
     return v.join(p, _alive(v, p), how).drop("_salt")
 
 
-def _depths(children: list[Child], groups: dict[str, list[Parent]]) -> dict[str, int] | None:
-    """How far below a table without references each child lies; None if the graph has a cycle."""
-    above = {c.name: {p.name for g in c.fields.values() for p in groups[g]} for c in children}
-    depth: dict[str, int] = {}
-    while len(depth) < len(above):
-        ready = [c for c in above if c not in depth and all(p not in above or p in depth for p in above[c])]
-        if not ready:
-            return None
-        for c in ready:
-            depth[c] = 1 + max((depth[p] for p in above[c] if p in above), default=-1)
-    return depth
-
-
 def orphan_cascade(children: list[Child], groups: dict[str, list[Parent]], hot: dict[str, list[str]] | None = None, max_rounds: int = 1000) -> DataFrame:
     """Every orphan reference with its kind: OUTPUT columns; depth 0 is direct, n inherited in round n."""
-    hot, values, direct = dict(hot or {}), {}, {}
+    hot, values, direct = dict(hot or {}), {}, []
     for c in children:
         if c.name not in hot:
-            keys = c.rows.select(F.explode(F.array(*map(symbol_key, c.fields))).alias("k"))
+            keys = c.rows.select(F.explode(F.array(*[_key(f, any(p.exact for p in groups[g])) for f, g in c.fields.items()])).alias("k"))
             hot[c.name] = hot_keys(keys.filter(is_reference(F.col("k"))), "k")
     mark = lambda df, kind, depth: df.withColumns({"orphan_kind": F.lit(kind), "depth": F.lit(depth)}).select(*OUTPUT)
     for c in children:
-        all_values = reference_values(c)
+        all_values = reference_values(c, groups)
         for g in dict.fromkeys(c.fields.values()):
-            values[c.name, g] = all_values.filter(F.col("ref_field").isin([f for f, of in c.fields.items() if of == g]))
-            direct[c.name, g] = mark(_without(values[c.name, g], _lives(groups[g]), hot[c.name], "left_anti"), "direct", 0)
-    rows_of = lambda df, name: df.filter(F.col("src_table") == name).select(F.lit(name).alias("parent_table"), F.col("row_id").alias("parent_row")).distinct()
+            values[c, g] = all_values.filter(F.col("ref_field").isin([f for f, of in c.fields.items() if of == g]))
+            direct.append(mark(_without(values[c, g], _lives(groups[g]), hot[c.name], "left_anti"), "direct", 0))
+
+    union = lambda dfs: reduce(DataFrame.unionByName, dfs)
+    tables = {c.name for c in children}
+    parents = sorted({p.name for ps in groups.values() for p in ps} & tables)  # tables that refer and are referred to
+    parent_rows = lambda df: df.filter(F.col("src_table").isin(parents)).select(F.col("src_table").alias("parent_table"), F.col("row_id").alias("parent_row")).distinct()
 
-    def inherited(c: Child, g: str, orphans: DataFrame, depth: int) -> DataFrame:
-        """References with live parents of which none is healthy."""
+    def inherited(c: Child, g: str, new: DataFrame, orphans: DataFrame, depth: int) -> DataFrame:
+        """References with live parents, one of them a new orphan, of which none is healthy."""
         lives = _lives(groups[g], with_row=True)
-        sick = lives.join(orphans, ["parent_table", "parent_row"], "left_semi")
-        healthy = lives.join(orphans, ["parent_table", "parent_row"], "left_anti")
-        return mark(_without(_without(values[c.name, g], sick, hot[c.name], "left_semi"), healthy, hot[c.name], "left_anti"), "inherited", depth)
+        row = ["parent_table", "parent_row"]
+        fallen, healthy = lives.join(new, row, "left_semi"), lives.join(orphans, row, "left_anti")
+        return mark(_without(_without(values[c, g], fallen, hot[c.name], "left_semi"), healthy, hot[c.name], "left_anti"), "inherited", depth)
 
-    union = lambda dfs: reduce(DataFrame.unionByName, dfs)
-    by_name = {c.name: c for c in children}
-    depths = _depths(children, groups)
-    if depths is not None:
-        found: dict[str, list[DataFrame]] = {}
-        for name in sorted(depths, key=depths.get):
-            c = by_name[name]
-            found[name] = [direct[name, g] for g in dict.fromkeys(c.fields.values())]
-            for g in dict.fromkeys(c.fields.values()):
-                above = [rows_of(df, p.name) for p in groups[g] if p.name in found for df in found[p.name]]
-                if above:
-                    found[name].append(inherited(c, g, union(above).distinct(), depths[name]))
-        return union([df for dfs in found.values() for df in dfs])
-    total = cut(union(list(direct.values())), "orphans")
+    total = found = cut(union(direct), "orphans")
     for depth in range(1, max_rounds + 1):
-        orphans = total.select(F.col("src_table").alias("parent_table"), F.col("row_id").alias("parent_row")).distinct()
-        new = union([inherited(by_name[name], g, orphans, depth) for name, g in values if any(p.name in by_name for p in groups[g])])
-        new = cut(new.join(total, ["src_table", "ref_field", "row_id"], "left_anti"), "orphans")
-        if new.isEmpty():
+        fallen = parent_rows(found)
+        reached = {r.parent_table for r in fallen.select("parent_table").distinct().collect()}  # names of tables
+        below = [(c, g) for c, g in values if any(p.name in reached for p in groups[g])]
+        if not below:
             return total
-        total = total.unionByName(new)
+        orphans = parent_rows(total)
+        new = union([inherited(c, g, fallen, orphans, depth) for c, g in below])
+        found = cut(new.join(total, ["src_table", "ref_field", "row_id"], "left_anti"), "orphans")
+        total = total.unionByName(found)
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 

@@ -19,18 +19,27 @@ SNAPSHOT_COLUMNS = ["name", "kind", "lang", "scope", "signature", "return_type",
 # 1: references to records that do not exist
 
 
-def orphan_rows(spark: SparkSession, d: str) -> tuple[DataFrame, list[orphans.Parent]]:
-    """The cascade over project <- symbols <- refs, call_relations, function_nodes."""
+def orphan_rows(spark: SparkSession, d: str, projects: DataFrame | None = None, tables: tuple[str, ...] = ()) -> tuple[DataFrame, list[orphans.Parent]]:
+    """The cascade over project <- symbols <- refs, call_relations, and the other tables named."""
     t = lambda name: table(spark, d, name)
     symbols = t("symbols").withColumn("_row", F.concat_ws("|", symbol_key("id"), F.col("loaded_at").cast("string"), F.col("removed_at").cast("string"), "project_path"))
     symbol_rows = [orphans.Parent("symbols", symbols, "id", "loaded_at", "removed_at", F.col("_row")), orphans.Parent("system_symbols", t("system_symbols"), "id", "loaded_at")]
-    projects = [orphans.Parent("project", t("project"), "path")]
+    known = [orphans.Parent("project", t("project") if projects is None else projects, "path", exact=True)]
     children = [
         orphans.Child("symbols", symbols, F.col("_row"), "loaded_at", {"project_path": "projects"}),
         orphans.Child("refs", t("refs"), F.col("ref_id"), "loaded_at", {"symbol_id": "symbols", "container_id": "symbols"}),
         orphans.Child("call_relations", t("call_relations"), F.col("call_id"), "loaded_at", {"caller_id": "symbols", "callee_id": "symbols"}),
     ]
-    return orphans.orphan_cascade(children, {"symbols": symbol_rows, "projects": projects}), symbol_rows
+    others = {
+        "function_nodes": lambda: orphans.Child("function_nodes", t("function_nodes"), symbol_key("id"), None, {"id": "symbols"}),
+        "symbol_snapshots": lambda: orphans.Child("symbol_snapshots", t("symbol_snapshots"), F.concat_ws("|", "project_path", "snapshot_no", "doc_seq"), "taken_at", {"project_path": "projects", "id": "symbols"}),
+        "update_runs": lambda: orphans.Child("update_runs", t("update_runs"), F.col("run_id"), "started_at", {"project_path": "projects"}),
+        "git_changes": lambda: orphans.Child("git_changes", t("git_changes"), F.concat_ws("|", "project_path", "commit_hash"), "loaded_at", {"project_path": "projects"}),
+    }
+    return orphans.orphan_cascade(children + [others[x]() for x in tables], {"symbols": symbol_rows, "projects": known}), symbol_rows
+
+
+OTHERS = ("function_nodes", "symbol_snapshots", "update_runs", "git_changes")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -40,10 +49,19 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
-    rows, parents = orphan_rows(spark, d)
+    """Orphans of all tables by month, kind and reason."""
+    rows, parents = orphan_rows(spark, d, tables=OTHERS)
     return orphans.orphan_report(orphans.why_missing(rows, parents))
 
 
+def p1_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """What the loss of a project entails: the same tables as if the project with the least path were not there, orphans by month, kind and depth."""
+    projects = table(spark, d, "project")
+    left = projects.filter(F.col("path") > projects.agg(F.min("path")).head()[0])
+    rows, _ = orphan_rows(spark, d, left, OTHERS)
+    return rows.groupBy("src_table", "ref_field", F.date_format("loaded_at", "yyyy-MM").alias("month_key"), "orphan_kind", "depth").agg(F.count("*").alias("n_refs"), F.count_distinct("ref_key").alias("n_keys"))
+
+
 # 2: what changed between full snapshots
 
 
@@ -140,7 +158,7 @@ def p4_symbols(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_report, p3_found, p3_unclaimed, p3_increments, p4_found, p4_references, p4_headers, p4_symbols)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_cascade, p2_found, p2_report, p3_found, p3_unclaimed, p3_increments, p4_found, p4_references, p4_headers, p4_symbols)}
 
 _KEY = "upper(trim({}, ' \t'))"
 _LIVE = f"lives as materialized (select {_KEY.format('id')} as k, loaded_at as f, removed_at as u from symbols union all select {_KEY.format('id')}, loaded_at, null from system_symbols)"
@@ -157,6 +175,32 @@ good as (select * from vals where k is not null and k <> '' and not regexp_match
 alive as (select distinct g.src_table, g.ref_field, g.row_id from good g join lives l on g.k = l.k and l.f <= g.t and (l.u is null or g.t < l.u)),
 orphans as (select g.* from good g left join alive a on a.src_table = g.src_table and a.ref_field = g.ref_field and a.row_id = g.row_id where a.row_id is null)"""
 
+_PLAIN = "trim({}, ' \t')"
+_NAMED = "{0} is not null and {0} <> '' and not regexp_matches({0}, '^0+$')"
+
+
+def _all_orphans(projects: str) -> str:
+    """Orphans (src_table, ref_field, k, t, orphan_kind, depth) of all tables, given the paths of the projects that are there."""
+    gone = f"{_NAMED.format(_PLAIN.format('project_path'))} and {_PLAIN.format('project_path')} not in (select p from prj)"
+    by_project = " union all ".join([
+        f"select 'symbols' as src_table, {_PLAIN.format('project_path')} as k, loaded_at as t from (select distinct {_KEY.format('id')} as id, loaded_at, removed_at, project_path from symbols)",
+        f"select 'symbol_snapshots', {_PLAIN.format('project_path')}, taken_at from first_snaps",
+        f"select 'update_runs', {_PLAIN.format('project_path')}, started_at from (select *, row_number() over (partition by run_id order by started_at nulls last, project_path nulls first) as _r from update_runs where run_id is not null) where _r = 1",
+        f"select 'git_changes', {_PLAIN.format('project_path')}, loaded_at from (select *, row_number() over (partition by project_path, commit_hash order by loaded_at nulls last) as _r from git_changes) where _r = 1",
+    ])
+    return f"""prj as (select {_PLAIN.format('path')} as p from {projects}),
+mlives as materialized (select {_KEY.format('id')} as k, loaded_at as f, removed_at as u, coalesce({gone}, false) as sick from symbols where loaded_at is not null union all select {_KEY.format('id')}, loaded_at, null, false from system_symbols),
+{_first('refs', 'ref_id', ['symbol_id', 'container_id'])}, {_first('call_relations', 'call_id', ['caller_id', 'callee_id'])},
+first_snaps as (select * from (select *, row_number() over (partition by project_path, snapshot_no, doc_seq order by taken_at nulls last, {_KEY.format('id')} nulls first) as _r from symbol_snapshots) where _r = 1),
+mvals as (select * from (select src_table, ref_field, k, t, false as any_time from vals_refs union all select src_table, ref_field, k, t, false from vals_call_relations
+ union all select 'symbol_snapshots', 'id', {_KEY.format('id')}, taken_at, false from first_snaps union all select distinct 'function_nodes', 'id', {_KEY.format('id')}, null::timestamp, true from function_nodes) v where {_NAMED.format('k')}),
+mnum as (select *, row_number() over () as n from mvals),
+mseen as (select m.n, bool_and(l.sick) as all_sick from mnum m join mlives l on l.k = m.k and (m.any_time or (l.f <= m.t and (l.u is null or m.t < l.u))) group by m.n),
+pvals as ({by_project}),
+every as (select src_table, 'project_path' as ref_field, k, t, 'direct' as orphan_kind, 0 as depth from pvals where {_NAMED.format('k')} and k not in (select p from prj)
+ union all select m.src_table, m.ref_field, m.k, m.t, case when s.n is null then 'direct' else 'inherited' end, case when s.n is null then 0 else 1 end from mnum m left join mseen s on s.n = m.n where s.n is null or s.all_sick)"""
+
+
 _CONTENT = ", ".join([f"coalesce(trim({c}, ' \t'), '') as {c}" for c in SNAPSHOT_COLUMNS[:-1]] + ["coalesce(trim(definition.file_uri, ' \t'), '') as d0"] + [f"definition.{c} as {c}" for c in ("start_line", "start_column", "end_line", "end_column")])
 _COMPARED = [*SNAPSHOT_COLUMNS[:-1], "d0", "start_line", "start_column", "end_line", "end_column"]
 _CHANGES = f"""snaps as (select project_path, snapshot_no, {_KEY.format('id')} as id, {_CONTENT}, row_number() over (partition by project_path, snapshot_no, {_KEY.format('id')} order by doc_seq desc) as _r from symbol_snapshots),
@@ -188,9 +232,11 @@ def _place_sql(of: str, at: str, name: str) -> str:
 
 ORACLE = {
     "p1_found": f"with {_ORPHANS} select src_table, ref_field, row_id, strftime(t, '%Y-%m') as month_key from orphans",
-    "p1_report": f"""with {_ORPHANS}, firsts as (select k, min(f) as first_at from lives group by k)
-        select src_table, ref_field, strftime(t, '%Y-%m') as month_key, 'direct' as orphan_kind, case when f.k is null then 'never' when first_at > t then 'not_yet' else 'removed' end as reason, count(*) as n_refs, count(distinct o.k) as n_keys
-        from orphans o left join firsts f on o.k = f.k group by 1, 2, 3, 4, 5""",
+    "p1_report": f"""with {_all_orphans('project')}, firsts as (select k, min(f) as first_at from mlives group by k)
+        select src_table, ref_field, strftime(t, '%Y-%m') as month_key, orphan_kind, case when orphan_kind = 'inherited' then 'parent_orphan' when f.k is null then 'never' when first_at > t or t is null then 'not_yet' else 'removed' end as reason, count(*) as n_refs, count(distinct o.k) as n_keys
+        from every o left join firsts f on o.k = f.k group by 1, 2, 3, 4, 5""",
+    "p1_cascade": f"""with {_all_orphans('(select path from project where path > (select min(path) from project))')}
+        select src_table, ref_field, strftime(t, '%Y-%m') as month_key, orphan_kind, depth, count(*) as n_refs, count(distinct k) as n_keys from every group by 1, 2, 3, 4, 5""",
     "p2_found": f"with {_CHANGES} select * from changes",
     "p2_report": f"with {_CHANGES} select project_path, snapshot_no, change_kind, count(*) as n_keys from changes group by 1, 2, 3",
     "p3_found": f"""with {_CLAIMS}, paths as (select project_path, commit_hash, unnest(added) as path from git_changes union select project_path, commit_hash, unnest(modified) from git_changes)

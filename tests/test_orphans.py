@@ -1,5 +1,6 @@
 from datetime import datetime as D
 
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from symgraph.operators import orphans as O
@@ -68,6 +69,26 @@ def test_a_cycle_reaches_its_fixpoint(spark):
     assert sorted((r.row_id, r.orphan_kind, r.depth) for r in got.collect()) == [("3", "direct", 0), ("4", "inherited", 1), ("5", "inherited", 2)]
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 8), st.integers(0, 8)), min_size=1, max_size=14))
+def test_any_graph_against_brute_force(spark, edges):
+    """Rows with two references each, keys shared by several rows, cycles."""
+    rows = [(f"r{i}", f"k{k}", f"k{a}", f"k{b}") for i, (k, a, b) in enumerate(edges)]
+    sick = {}
+    changed = True
+    while changed:
+        changed = False
+        for r, _, *refs in rows:
+            for field, to in zip("ab", refs):
+                held = [x for x, k, *_ in rows if k == to]
+                if (r, field) not in sick and all(any((x, f) in sick for f in "ab") for x in held):
+                    sick[r, field] = "inherited" if held else "direct"
+                    changed = True
+    df = spark.createDataFrame(rows, "row string, id string, a string, b string")
+    got = O.orphan_cascade([O.Child("n", df, F.col("row"), None, {"a": "n", "b": "n"})], {"n": [O.Parent("n", df, "id", row_id=F.col("row"))]}, {"n": []})
+    assert {(r.row_id, r.ref_field): r.orphan_kind for r in got.collect()} == sick
+
+
 def test_reasons(spark):
     parents = [O.Parent("p", spark.createDataFrame([("a", T[2], T[4], None)], PARENT), "id", "a", "z")]
     c = O.Child("c", spark.createDataFrame([(1, T[1], "a", None, None), (2, T[5], "a", None, None), (3, T[3], "b", None, None)], CHILD), F.col("row_id"), "at", {"ref": "p"})

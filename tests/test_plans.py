@@ -19,13 +19,6 @@ def test_no_products_and_no_row_at_a_time_python(spark, data, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython", plan)
 
 
-def test_direct_orphans_plan_no_cascade_and_read_few_columns(spark, data):
-    plan = _plan(spark, data, "p1_found")
-    assert "project.parquet" not in plan
-    scans = [x for x in re.findall(r"ReadSchema: struct<([^>]*)>", plan) if "ref_id" in x]
-    assert scans and all("location" not in x and "kind" not in x for x in scans)
-
-
 def test_snapshots_move_once(spark, data):
     plan = _plan(spark, data, "p2_found")
     assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan and "Window" in plan
