@@ -190,7 +190,7 @@ class CodeGraph:
             todo = t["function"].join(near, "id", "left_semi").filter("code_summary is not null")
         else:
             todo = enrich.needs_summary(t["function"])
-        said = apply("function", enrich.context_prompts(todo, traverse.call_context(t["function"], t["calls"])))
+        said = apply("function", enrich.context_prompts(todo, traverse.call_context(t["function"], t["calls"], todo)))
 
         files = enrich.file_prompts(t["function"], []).withColumnRenamed("file_path", "path")
         folders = None
@@ -212,7 +212,7 @@ class CodeGraph:
             apply("folder", prompts if folders is None else prompts.join(folders, "path", "left_semi"))
         if folders is None or not (folders.isEmpty() and touched.isEmpty()):
             top = labelled(t["file"], "File").unionByName(labelled(t["folder"], "Folder")).filter(F.col("parent_path") == self.root)
-            apply("project", enrich.project_prompt(top, t["project"].head().name).select(F.lit(self.root).alias("path"), "prompt"))
+            apply("project", enrich.project_prompts(top.withColumn("path", F.lit(self.root)), "path", F.lit(t["project"].head().name)))
         labels = ("project", "folder", "file", "function")
         found = cut(enrich.embed(enrich.needs_embedding({x: (t[x], NODE_KEYS[x]) for x in labels}), embedder), "embeddings")
         for x in labels:

@@ -24,11 +24,11 @@ def valid_refs(refs: DataFrame, symbols: DataFrame) -> DataFrame:
 
 
 def sites_by_container(refs: DataFrame, functions: DataFrame) -> DataFrame:
-    """(ref_id, caller_id, caller_name, callee_id, callee_name, location): the container is the caller; both must be functions."""
+    """(ref_id, caller_id, caller_name, callee_id, callee_name): the container is the caller; both must be functions."""
     calls = refs.filter(F.col("kind").isin(*CALL_KINDS_NEW) & is_reference(F.col("container_id")))
     callee = functions.select(F.col("id").alias("symbol_id"), F.col("name").alias("callee_name"))
     caller = functions.select(F.col("id").alias("container_id"), F.col("name").alias("caller_name"))
-    return calls.join(callee, "symbol_id").join(caller, "container_id").select("ref_id", F.col("container_id").alias("caller_id"), "caller_name", F.col("symbol_id").alias("callee_id"), "callee_name", "location")
+    return calls.join(callee, "symbol_id").join(caller, "container_id").select("ref_id", F.col("container_id").alias("caller_id"), "caller_name", F.col("symbol_id").alias("callee_id"), "callee_name")
 
 
 def call_edges(sites: DataFrame) -> DataFrame:
@@ -59,14 +59,27 @@ def first_enclosing_body(sites: DataFrame, bodies: DataFrame, block_lines: int =
     return enclosing_bodies(sites, bodies, block_lines).groupBy("site_id").agg(F.min(F.struct("start_line", "seq", "id")).alias("m")).select("site_id", F.col("m.id").alias("id"))
 
 
-def call_stats(sites: DataFrame) -> DataFrame:
-    """Statistics of a call graph in one row. Callers and callees are told apart by name, recursion by id; n_calls counts sites."""
-    roles = sites.select(F.explode(F.array(F.struct(F.col("caller_name").alias("name"), F.lit(1).alias("out"), F.lit(0).alias("in")), F.struct(F.col("callee_name").alias("name"), F.lit(0).alias("out"), F.lit(1).alias("in")))).alias("r"))
-    names = roles.groupBy("r.name").agg(F.max("r.out").alias("calls"), F.max("r.in").alias("called")).agg(
-        F.sum("calls").alias("n_callers"), F.sum("called").alias("n_callees"), F.count_if(F.expr("calls = 1 and called = 1")).alias("n_both"), F.count_if(F.expr("calls = 1 and called = 0")).alias("n_entry"), F.count_if(F.expr("calls = 0 and called = 1")).alias("n_leaf"), F.count("*").alias("n_names"),
+def call_stats(sites: DataFrame, functions: DataFrame | None = None) -> DataFrame:
+    """Statistics of a call graph in one row. Callers and callees are told apart by name, recursion by id; n_calls counts sites.
+
+    functions: id and body_location of the functions of the index, for how many there are and how
+    many have a body. Sites are read once: what is counted by name and by site goes through one grouping.
+    """
+    same = F.col("caller_id") == F.col("callee_id")
+    out = F.struct(F.col("caller_name").alias("name"), F.lit(1).alias("out"), F.lit(0).alias("in"), F.lit(1).alias("site"), same.cast("int").alias("again"), F.when(same, F.col("caller_id")).alias("id"))
+    into = F.struct(F.col("callee_name").alias("name"), F.lit(0).alias("out"), F.lit(1).alias("in"), F.lit(0).alias("site"), F.lit(0).alias("again"), F.lit(None).cast("string").alias("id"))
+    per = sites.select(F.explode(F.array(out, into)).alias("r")).groupBy("r.name").agg(
+        F.max("r.out").alias("calls"), F.max("r.in").alias("called"), F.sum("r.site").alias("sites"), F.sum("r.again").alias("again"), F.count_distinct("r.id").alias("ids"),
+    )
+    none = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    total = per.agg(
+        none("sites").alias("n_calls"), none("again").alias("n_recursive_calls"), none("ids").alias("n_recursive"), none("calls").alias("n_callers"), none("called").alias("n_callees"), F.count_if(F.expr("calls = 1 and called = 1")).alias("n_both"),
+        F.count_if(F.expr("calls = 1 and called = 0")).alias("n_entry"), F.count_if(F.expr("calls = 0 and called = 1")).alias("n_leaf"), F.count("*").alias("n_names"),
     )
-    totals = sites.agg(F.count("*").alias("n_calls"), F.count_if(F.col("caller_id") == F.col("callee_id")).alias("n_recursive_calls"), F.count_distinct(F.when(F.col("caller_id") == F.col("callee_id"), F.col("caller_id"))).alias("n_recursive"))
-    return totals.crossJoin(names)  # one row each
+    if functions is None:
+        return total
+    known = functions.groupBy("id").agg(F.bool_or(F.col("body_location").isNotNull()).alias("body")).agg(F.count("*").alias("n_functions"), F.count_if("body").alias("n_with_body"))
+    return known.crossJoin(total)  # one row each
 
 
 def fan_out(sites: DataFrame) -> DataFrame:

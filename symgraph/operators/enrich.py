@@ -83,7 +83,7 @@ def listed(c: Column, separator: str = ", ") -> Column:
 
 
 def context_prompts(functions: DataFrame, context: DataFrame) -> DataFrame:
-    """(id, prompt) from a function's code summary and the sorted names around it."""
+    """(id, prompt) from a function's code summary and those of the functions around it (context: as of ``traverse.call_context``)."""
     return functions.join(context, "id").select("id", F.format_string(CONTEXT_PROMPT, "code_summary", listed(F.col("callers")), listed(F.col("callees"))).alias("prompt"))
 
 
@@ -96,13 +96,18 @@ def file_prompts(functions: DataFrame, keep: list[str]) -> DataFrame:
     return _rolled(functions.filter(_usable("summary") & F.col("file_path").isNotNull()), [*keep, "file_path"], F.col("summary"), FILE_PROMPT, P.basename("file_path"))
 
 
-def folder_prompts(children: DataFrame) -> DataFrame:
-    """(parent_path, prompt) from summarised children (label, name, summary, parent_path)."""
-    return _rolled(children.filter(_usable("summary")), ["parent_path"], F.format_string("%s %s: %s", "label", "name", "summary"), FOLDER_PROMPT, P.basename("parent_path"))
+def folder_prompts(children: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(keep, parent_path, prompt) from summarised children, files and folders: (keep, label, name, summary, parent_path)."""
+    return _rolled(children.filter(_usable("summary")), [*(keep or []), "parent_path"], _said(), FOLDER_PROMPT, P.basename("parent_path"))
 
 
-def project_prompt(children: DataFrame, name: str) -> DataFrame:
-    return _rolled(children.filter(_usable("summary")).withColumn("_p", F.lit(name)), ["_p"], F.format_string("%s %s: %s", "label", "name", "summary"), PROJECT_PROMPT, F.col("_p")).select(F.col("_p").alias("name"), "prompt")
+def project_prompts(children: DataFrame, key: str, name: Column) -> DataFrame:
+    """(key, prompt) of each project from its summarised files and folders at the top: (key, label, name, summary)."""
+    return _rolled(children.filter(_usable("summary")), [key], _said(), PROJECT_PROMPT, name)
+
+
+def _said() -> Column:
+    return F.format_string("%s %s: %s", "label", "name", "summary")
 
 
 def summarize(prompts: DataFrame, key: list[str], summarizer: Summarizer, batch: int = 64) -> DataFrame:

@@ -2,37 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from symgraph.functions import paths as P
-from symgraph.session import cut, shared_dir
+from symgraph.session import shared_dir
+
+
+#: Shortcuts double while they are at most this many times the edges, and only if the seeds' neighbours are at least that share of the edges.
+SHORTCUTS, MANY_SEEDS = 32, 1 / 16
 
 
 def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
     """(seed, node): nodes from which a path of one edge or more leads to a seed; a seed on a cycle reaches itself.
 
-    Semi-naive rounds of two edges: only pairs that are new meet the edges again. Each round is
-    one job that writes its new pairs and counts them on the way, so lineage and plans stay
-    flat and lost executors do not restart the loop. Null ends and seeds take no part.
+    Semi-naive rounds: only pairs that are new meet the edges again. Where many seeds ask, edges
+    are first joined with themselves into shortcuts of up to 2, 4, 8 ... edges, so that a path of
+    length n takes about log2(n) rounds; when these no longer grow, one join with the seeds is
+    all that is left. Each round is one job that writes its pairs and counts them on the way, so
+    lineage and plans stay flat and lost executors do not restart the loop. Null ends and seeds
+    take no part.
     """
-    spark = edges.sparkSession
-    back = cut(edges.select(F.col(dst).alias("_to"), F.col(src).alias("_from")).dropna().distinct(), "edges")
+    spark, root = edges.sparkSession, shared_dir(edges.sparkSession, "reach")
+    pairs = edges.select(F.col(dst).alias("to"), F.col(src).alias("node")).dropna().distinct()
     start = seeds.select(F.col(seeds.columns[0]).alias("seed")).dropna().distinct()
-    root, schema = shared_dir(spark, "reach"), T.StructType([T.StructField("seed", start.schema["seed"].dataType), T.StructField("node", back.schema["_from"].dataType)])
-    read = lambda rounds: spark.read.schema(schema).parquet(*[f"{root}/{r}" for r in rounds])
-    hop = lambda pairs, at: pairs.join(back, pairs[at] == back["_to"]).select("seed", F.col("_from").alias("node"))
 
-    def write(pairs: DataFrame, no: int) -> int:
+    def write(df: DataFrame, name: str) -> tuple[DataFrame, int]:
         seen = Observation()
-        pairs.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/{no}")
-        return seen.get["n"]
-
-    new = write(hop(start, "seed").distinct(), 0)
-    for no in range(max_rounds):
-        if not new:
-            return read(range(no + 1))
-        one = hop(read([no]), "node").distinct()
-        new = write(one.unionByName(hop(one, "node")).distinct().join(read(range(no + 1)), ["seed", "node"], "left_anti"), no + 1)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}"), seen.get["n"]
+
+    hop = lambda near, at, step: near.join(step.select(F.col("to").alias("_to"), F.col("node").alias("_node")), F.col(at) == F.col("_to"))
+    onward = lambda near, at, step: hop(near, at, step).select("seed", F.col("_node").alias("node"))
+    back, n_edges = write(pairs, "edges")
+    new, n_new = write(onward(start, "seed", back).distinct(), "0")
+    step, n_step, complete, level = back, n_edges, False, 0
+    while n_new >= MANY_SEEDS * n_edges and 0 < n_step <= SHORTCUTS * n_edges and not complete:
+        level += 1
+        wider = step.unionByName(hop(step, "node", step).select("to", F.col("_node").alias("node"))).distinct()
+        before = n_step
+        step, n_step = write(wider, f"step-{level}")
+        complete = n_step == before
+    if complete:
+        return onward(start, "seed", step).distinct()
+    rounds = [new]
+    for no in range(1, max_rounds + 1):
+        if not n_new:
+            return reduce(DataFrame.unionByName, rounds)
+        one = onward(rounds[-1], "node", step).distinct()
+        both = one.unionByName(onward(one, "node", step)).distinct() if not level else one
+        new, n_new = write(both.join(reduce(DataFrame.unionByName, rounds), ["seed", "node"], "left_anti"), str(no))
+        rounds.append(new)
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 
@@ -57,13 +78,18 @@ def neighbours(seeds: DataFrame, calls: DataFrame) -> DataFrame:
     return s.unionByName(forth).unionByName(back).distinct()
 
 
-def call_context(functions: DataFrame, calls: DataFrame) -> DataFrame:
-    """(id, callers, callees): sorted distinct names, empty where there are none; the two sides are never multiplied."""
-    names = functions.select("id", "name")
-    callers = calls.join(names.withColumnRenamed("id", "caller_id"), "caller_id").groupBy(F.col("callee_id").alias("id")).agg(F.array_sort(F.collect_set("name")).alias("callers"))
-    callees = calls.join(names.withColumnRenamed("id", "callee_id"), "callee_id").groupBy(F.col("caller_id").alias("id")).agg(F.array_sort(F.collect_set("name")).alias("callees"))
+def call_context(functions: DataFrame, calls: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(id, callers, callees): the sorted distinct code summaries of the functions that call each function and that it calls.
+
+    functions: id, code_summary. Neighbours without one, or with an empty one, add nothing; the lists
+    are empty where there are none; the two sides are never multiplied. only: (id) of functions asked for.
+    """
+    asked = (functions if only is None else only).select("id").distinct()
+    said = functions.filter("code_summary is not null and code_summary <> ''").select("id", "code_summary")
+    one = lambda of, by: calls.join(asked.withColumnRenamed("id", of), of, "left_semi").join(said.withColumnRenamed("id", by), by).groupBy(F.col(of).alias("id")).agg(F.array_sort(F.collect_set("code_summary")).alias(by))
     none = F.array().cast("array<string>")
-    return functions.select("id").distinct().join(callers, "id", "left").join(callees, "id", "left").select("id", F.coalesce("callers", none).alias("callers"), F.coalesce("callees", none).alias("callees"))
+    both = asked.join(one("callee_id", "caller_id"), "id", "left").join(one("caller_id", "callee_id"), "id", "left")
+    return both.select("id", F.coalesce("caller_id", none).alias("callers"), F.coalesce("callee_id", none).alias("callees"))
 
 
 def subset_one_hop(seeds: DataFrame, refs: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.functions import paths as P
+from symgraph.functions.text import symbol_key
 from symgraph.operators import calls, changes, enrich, nodes, render, store, traverse
 from symgraph.plans import views as V
-from symgraph.session import table
+from symgraph.session import cut, table
 from symgraph.sources import markers
 
 QUERIES: dict = {}
@@ -27,7 +28,7 @@ def _functions(s: SparkSession, d: str) -> DataFrame:
 
 
 def _sites(s: SparkSession, d: str) -> DataFrame:
-    return calls.sites_by_container(V.refs(s, d), V.symbols(s, d).filter("kind = 'Function'").select("id", "name"))
+    return calls.sites_by_container(V.refs(s, d), V.functions(s, d))
 
 
 def _calls(s: SparkSession, d: str) -> DataFrame:
@@ -69,7 +70,7 @@ def kind_routing(s, d):
 
 @query
 def kind_histogram(s, d):
-    return nodes.kind_histogram(V.symbols(s, d))
+    return nodes.kind_histogram(V.symbols(s, d, columns=("name", "kind")))
 
 
 @query
@@ -118,7 +119,7 @@ def folder_drawing(s, d):
 
 @query
 def span_listing(s, d):
-    f = V.function_nodes(s, d).filter("body_location is not null")
+    f = V.function_nodes(s, d, "name", "file_path", "name_location", "body_location").filter("body_location is not null")
     spans = f.select(F.col("file_path").alias("file"), "name", F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"), F.col("body_location").alias("body"))
     return render.span_listing(spans)
 
@@ -143,7 +144,8 @@ def call_edges_stored(s, d):
 
 @query
 def call_stats(s, d):
-    return calls.call_stats(_sites(s, d))
+    nodes = V.function_nodes(s, d, "body_location").select(symbol_key("id").alias("id"), "body_location")
+    return calls.call_stats(_sites(s, d), V.functions(s, d).join(nodes, "id", "left"))
 
 
 @query
@@ -160,7 +162,7 @@ def entry_functions(s, d):
 
 @query
 def valid_refs(s, d):
-    return calls.valid_refs(V.refs(s, d), V.symbols(s, d)).groupBy("kind").agg(F.count("*").alias("n"))
+    return calls.valid_refs(V.refs(s, d, place=True), V.symbols(s, d, columns=("name",))).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query
@@ -176,7 +178,7 @@ def interval_first_match(s, d):
 @query
 def span_enrichment(s, d):
     f = _functions(s, d).filter("file_path is not null").select("id", "name", F.col("file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"))
-    spans = V.function_nodes(s, d).filter("body_location is not null").select("name", F.col("file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"), F.col("id").alias("seq"), F.col("body_location").alias("body"))
+    spans = V.function_nodes(s, d, "name", "file_path", "name_location", "body_location").filter("body_location is not null").select("name", F.col("file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"), F.col("id").alias("seq"), F.col("body_location").alias("body"))
     return calls.with_bodies(f, spans).select("id", F.get("body_location", 0).alias("first_line"), F.get("body_location", 2).alias("last_line"))
 
 
@@ -199,19 +201,31 @@ def reverse_includes(s, d):
     return V.includes(s, d).groupBy("included").agg(F.count_distinct("including").alias("n_including"))
 
 
+def _changed_headers(s: SparkSession, d: str) -> DataFrame:
+    """(seed), absolute: headers that some commit modifies or deletes."""
+    return changes.changed_headers(changes.fold(_changes(s, d), _COMMIT)).select(P.joined("project_path", "path").alias("seed")).distinct()
+
+
 @query
 def impact_transitive(s, d):
-    return traverse.impact(V.includes(s, d), V.headers(s, d), "including", "included")
+    return traverse.impact(V.includes(s, d), _changed_headers(s, d), "including", "included")
 
 
 @query
 def impact_no_seed(s, d):
-    return traverse.impact(V.includes(s, d), V.headers(s, d), "including", "included", with_seed=False)
+    return traverse.impact(V.includes(s, d), _changed_headers(s, d), "including", "included", with_seed=False)
 
 
 @query
 def impact_sources(s, d):
-    return traverse.impacted_sources(V.includes(s, d), V.headers(s, d), "including", "included").select("seed", F.concat_ws(",", "sources").alias("sources"))
+    return traverse.impacted_sources(V.includes(s, d), _changed_headers(s, d), "including", "included").select("seed", F.concat_ws(",", "sources").alias("sources"))
+
+
+@query
+def impact_all_headers(s, d):
+    """How many files each included header reaches: the closure of all headers."""
+    edges = cut(V.includes(s, d), "includes")
+    return traverse.impact(edges, V.headers(edges), "including", "included").groupBy("seed").agg(F.count("*").alias("n_files"))
 
 
 # Neighbourhoods
@@ -219,7 +233,7 @@ def impact_sources(s, d):
 
 def _seeds(s: SparkSession, d: str) -> DataFrame:
     """Functions that wait for a code summary."""
-    return enrich.needs_code_summary(V.function_nodes(s, d)).select("id")
+    return enrich.needs_code_summary(V.function_nodes(s, d, "code_summary", "body_location")).select("id")
 
 
 @query
@@ -227,9 +241,14 @@ def neighbours_one_hop(s, d):
     return traverse.neighbours(_seeds(s, d), _calls(s, d))
 
 
+def _summarised(s: SparkSession, d: str) -> DataFrame:
+    """(id, code_summary, summary) of function nodes."""
+    return V.function_nodes(s, d, "code_summary", "summary").withColumn("id", symbol_key("id"))
+
+
 @query
 def call_context(s, d):
-    return traverse.call_context(_functions(s, d), _calls(s, d)).select("id", F.concat_ws(",", "callers").alias("callers"), F.concat_ws(",", "callees").alias("callees"))
+    return traverse.call_context(_summarised(s, d), _calls(s, d)).select("id", F.concat_ws(" | ", "callers").alias("callers"), F.concat_ws(" | ", "callees").alias("callees"))
 
 
 @query
@@ -306,7 +325,7 @@ def prune_folders(s, d):
 
 @query
 def property_counts(s, d):
-    return store.property_count({"FUNCTION": V.function_nodes(s, d), "PROJECT": table(s, d, "project"), "FILE": _files(s, d)}, "summary")
+    return store.property_count({"FUNCTION": V.function_nodes(s, d, "summary"), "PROJECT": table(s, d, "project"), "FILE": _files(s, d)}, "summary")
 
 
 @query
@@ -424,50 +443,63 @@ def update_purge_includes(s, d):
 
 @query
 def needs_code_summary(s, d):
-    return enrich.needs_code_summary(V.function_nodes(s, d)).select("id")
+    return enrich.needs_code_summary(V.function_nodes(s, d, "code_summary", "body_location")).select("id")
 
 
 @query
 def needs_summary(s, d):
-    return enrich.needs_summary(V.function_nodes(s, d)).select("id")
+    return enrich.needs_summary(V.function_nodes(s, d, "code_summary", "summary")).select("id")
 
 
 @query
 def needs_embedding(s, d):
-    return enrich.needs_embedding({"FUNCTION": (V.function_nodes(s, d), "id"), "PROJECT": (table(s, d, "project"), "path")})
+    nodes = table(s, d, "function_nodes").select("id", "summary", F.col("summary_embedding").isNull().alias("_none")).distinct()
+    bare = nodes.select("id", "summary", F.when(~F.col("_none"), F.lit(1)).alias("summary_embedding"))
+    return enrich.needs_embedding({"FUNCTION": (bare, "id"), "PROJECT": (table(s, d, "project"), "path")})
+
+
+def _said_in_files(s: SparkSession, d: str) -> DataFrame:
+    """(project_path, file_path, summary) of the functions that files define."""
+    return _defines(s, d).filter("dst_label = 'FUNCTION'").join(_summarised(s, d).select("id", "summary"), "id").select("project_path", "file_path", "summary")
 
 
 @query
 def file_prompts(s, d):
-    return enrich.file_prompts(V.function_nodes(s, d), [])
+    return enrich.file_prompts(_said_in_files(s, d), ["project_path"])
 
 
 def _children(s: SparkSession, d: str) -> DataFrame:
-    f = V.function_nodes(s, d).filter("summary is not null and summary <> '' and file_path is not null")
-    per = f.groupBy("file_path").agg(F.min("summary").alias("summary"))
-    return per.select(F.lit("File").alias("label"), P.basename("file_path").alias("name"), "summary", P.parent("file_path").alias("parent_path"))
+    """(project_path, label, name, summary, parent_path): files and folders. In place of a model's words a file's summary is the digest of all
+    summaries in it, a folder's that of all files below it."""
+    digest = lambda c: F.md5(F.concat_ws("; ", F.array_sort(F.collect_list(c))))
+    files = _said_in_files(s, d).filter("summary is not null and summary <> ''").groupBy("project_path", "file_path").agg(digest("summary").alias("summary"))
+    folders = files.select("project_path", F.explode(P.ancestors("file_path")).alias("path"), F.concat_ws(" ", "file_path", "summary").alias("x")).groupBy("project_path", "path").agg(digest("x").alias("summary"))
+    one = lambda df, label, path: df.select("project_path", F.lit(label).alias("label"), P.basename(path).alias("name"), "summary", P.parent(path).alias("parent_path"))
+    return one(files, "File", "file_path").unionByName(one(folders, "Folder", "path"))
 
 
 @query
 def folder_prompts(s, d):
-    return enrich.folder_prompts(_children(s, d))
+    return enrich.folder_prompts(_children(s, d).filter("parent_path <> ''"), ["project_path"])
 
 
 @query
 def project_prompt(s, d):
-    return enrich.project_prompt(_children(s, d).filter("parent_path = ''"), "all")
+    return enrich.project_prompts(_children(s, d).filter("parent_path = ''"), "project_path", P.basename("project_path"))
 
 
 @query
 def context_prompts(s, d):
-    f = V.function_nodes(s, d).filter("code_summary is not null").select("id", "code_summary")
-    return enrich.context_prompts(f, traverse.call_context(_functions(s, d), _calls(s, d)))
+    """Of functions that have a code summary and wait for a summary."""
+    f = _summarised(s, d)
+    waiting = enrich.needs_summary(f)
+    return enrich.context_prompts(waiting.select("id", "code_summary"), traverse.call_context(f, _calls(s, d), waiting))
 
 
 @query
 def summaries_changed(s, d):
     """Code summaries taken for summaries; the embedding goes only where the text differs."""
-    f = V.function_nodes(s, d).select("id", "summary", "code_summary", "summary_embedding")
+    f = V.function_nodes(s, d, "summary", "code_summary", "summary_embedding")
     new = f.select("id", F.col("code_summary").alias("new_summary")).filter("new_summary is not null")
     return enrich.apply_summaries(f, new, ["id"]).select("id", "summary", F.col("summary_embedding").isNotNull().alias("embedded"))
 

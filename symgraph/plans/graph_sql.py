@@ -75,12 +75,20 @@ imp as (select h.project_path, h.commit_hash, substr(r.node, length(h.project_pa
 udirty as (select * from dirty union (select * from imp except select * from del)),
 uscope as (select * from udirty union select * from del)"""
 UPDATE_GONE = f"{UPDATE}, ugonef as (select distinct project_path || '/' || path as path from uscope), ugone as (select d.id from def d where d.project_path || '/' || d.file_path in (select path from ugonef))"
-CONTEXT = """callers as (select c.callee_id as id, string_agg(distinct s.name, ',' order by s.name) as callers from cl c join rws s on s.id = c.caller_id and s.kind = 'Function' group by 1),
-callees as (select c.caller_id as id, string_agg(distinct s.name, ',' order by s.name) as callees from cl c join rws s on s.id = c.callee_id and s.kind = 'Function' group by 1),
-ctx as (select f.id, coalesce(a.callers, '') as callers, coalesce(b.callees, '') as callees from (select id from rws where kind = 'Function') f left join callers a on a.id = f.id left join callees b on b.id = f.id)"""
+SEEN = "cseeds as (select distinct project_path || '/' || path as seed from fold where change_type in ('modified', 'deleted') and path like '%.h')"
+CHANGED_REACH = f"{FOLD}, {INC}, {SEEN}, reach as (select s.seed, i.including as node from cseeds s join inc i on i.included = s.seed union select r.seed, i.including from reach r join inc i on i.included = r.node)"
+# the neighbours' code summaries, as the enrichment of a function collects them
+CONTEXT = f"""fsum as (select distinct {_KEY.format('id')} as id, code_summary, summary from function_nodes),
+around as (select c.callee_id as id, 'caller' as side, s.code_summary as said from cl c join fsum s on s.id = c.caller_id union select c.caller_id, 'callee', s.code_summary from cl c join fsum s on s.id = c.callee_id),
+heard as (select id, string_agg(said, ' | ' order by said) filter (side = 'caller') as callers, string_agg(said, ' | ' order by said) filter (side = 'callee') as callees,
+ string_agg(said, ', ' order by said) filter (side = 'caller') as caller_list, string_agg(said, ', ' order by said) filter (side = 'callee') as callee_list from around where coalesce(said, '') <> '' group by id)"""
 GONE_FILES = f"{FOLD}, gonef as (select distinct project_path || '/' || path as path from del)"
 GONE = f"{GONE_FILES}, gone as (select d.id from def d where d.project_path || '/' || d.file_path in (select path from gonef))"
-CHILD = f"""chd as (select 'File' as label, {_base('file_path')} as name, min(summary) as summary, {_parent('file_path')} as parent_path from fnode where summary is not null and summary <> '' and file_path is not null group by file_path)"""
+SAID = f"""fsum as (select distinct {_KEY.format('id')} as id, summary from function_nodes), said as (select d.project_path, d.file_path, s.summary from def d join fsum s on s.id = d.id where d.dst_label = 'FUNCTION' and coalesce(s.summary, '') <> '')"""
+CHILD = f"""{SAID}, sfiles as (select project_path, file_path as path, md5(string_agg(summary, '; ' order by summary)) as summary from said group by 1, 2),
+sbelow as (select project_path, path, summary, string_split(path, '/') as p, unnest(range(1, len(string_split(path, '/')))) as i from sfiles),
+sfolders as (select project_path, array_to_string(p[1:i], '/') as path, md5(string_agg(path || ' ' || summary, '; ' order by path || ' ' || summary)) as summary from sbelow group by project_path, array_to_string(p[1:i], '/')),
+chd as (select project_path, 'File' as label, {_base('path')} as name, summary, {_parent('path')} as parent_path from sfiles union all select project_path, 'Folder', {_base('path')}, summary, {_parent('path')} from sfolders)"""
 LINES = "ln as (select doc_id, i - 1 as line_no, p[i] as line from (select doc_id, p, unnest(range(1, len(p) + 1)) as i from (select doc_id, string_split(text, chr(10)) as p from documents where text is not null) a) b)"
 _BASE, _GRAPH = f"with {SYM}, {ROWS}", f"with {SYM}, {ROWS}, {FILES}, {DEFINES}"
 
@@ -102,8 +110,8 @@ ORACLE = {
     "call_sites": f"with {SYM}, {SITES} select * from st",
     "call_edges": f"with {SYM}, {SITES} select * from cl",
     "call_edges_stored": f"{_BASE}, {SITES} select * from cl where caller_id in (select id from rws where kind = 'Function') and callee_id in (select id from rws where kind = 'Function')",
-    "call_stats": f"""with {SYM}, {SITES}, a as (select distinct caller_name as name from st), b as (select distinct callee_name as name from st)
-        select count(*) as n_calls, count(*) filter (caller_id = callee_id) as n_recursive_calls, count(distinct case when caller_id = callee_id then caller_id end) as n_recursive, (select count(*) from a) as n_callers, (select count(*) from b) as n_callees,
+    "call_stats": f"""with {SYM}, {SITES}, {FNODES}, a as (select distinct caller_name as name from st), b as (select distinct callee_name as name from st), bodied as (select distinct upper(trim(id, ' \t')) as id from fnode where body_location is not null)
+        select (select count(*) from fn) as n_functions, (select count(*) from fn where id in (select id from bodied)) as n_with_body, count(*) as n_calls, count(*) filter (caller_id = callee_id) as n_recursive_calls, count(distinct case when caller_id = callee_id then caller_id end) as n_recursive, (select count(*) from a) as n_callers, (select count(*) from b) as n_callees,
         (select count(*) from a join b on a.name = b.name) as n_both, (select count(*) from a left join b on a.name = b.name where b.name is null) as n_entry, (select count(*) from b left join a on a.name = b.name where a.name is null) as n_leaf, (select count(*) from (select name from a union select name from b) u) as n_names from st""",
     "call_fanout": f"with {SYM}, {SITES} select caller_id, count(*) as n_sites, count(distinct callee_id) as n_callees from st group by 1",
     "entry_functions": f"with {SYM}, {SITES} select distinct caller_name as name from st where caller_name not in (select callee_name from st)",
@@ -115,11 +123,12 @@ ORACLE = {
     "includes_edges": f"with {SYM}, {FILES}, {INC}, nd as (select project_path || '/' || path as path from fls) select distinct including, included from inc where including in (select path from nd) and included in (select path from nd)",
     "include_groups": f"with {INC} select including, count(distinct included) as n, string_agg(distinct included, ',' order by included) as included from inc group by including",
     "reverse_includes": f"with {INC} select included, count(distinct including) as n_including from inc group by 1",
-    "impact_transitive": f"with recursive {REACH} select seed, node from reach",
-    "impact_no_seed": f"with recursive {REACH} select seed, node from reach where seed <> node",
-    "impact_sources": f"with recursive {REACH} select s.seed, coalesce(string_agg(r.node, ',' order by r.node), '') as sources from seeds s left join (select * from reach where seed <> node and regexp_matches(node, '\\.(c|cpp|cc|cxx)$')) r on r.seed = s.seed group by s.seed",
+    "impact_transitive": f"with recursive {CHANGED_REACH} select seed, node from reach",
+    "impact_no_seed": f"with recursive {CHANGED_REACH} select seed, node from reach where seed <> node",
+    "impact_sources": f"with recursive {CHANGED_REACH} select s.seed, coalesce(string_agg(r.node, ',' order by r.node), '') as sources from cseeds s left join (select * from reach where seed <> node and regexp_matches(node, '\\.(c|cpp|cc|cxx)$')) r on r.seed = s.seed group by s.seed",
+    "impact_all_headers": f"with recursive {REACH} select seed, count(*) as n_files from reach group by seed",
     "neighbours_one_hop": f"{_BASE}, {SITES}, {SEEDS} select id from sd union select callee_id from cl where caller_id in (select id from sd) union select caller_id from cl where callee_id in (select id from sd)",
-    "call_context": f"{_BASE}, {SITES}, {CONTEXT} select * from ctx",
+    "call_context": f"with {SYM}, {SITES}, {CONTEXT} select f.id, coalesce(h.callers, '') as callers, coalesce(h.callees, '') as callees from (select distinct id from fsum) f left join heard h on h.id = f.id",
     "subset_one_hop": f"{_BASE}, {REFS}, {SEEDS} select id from sd union select container_id from rf where symbol_id in (select id from sd) and container_id <> '' union select symbol_id from rf where container_id in (select id from sd) and symbol_id <> ''",
     "files_of_symbols": f"{_GRAPH}, {SEEDS} select distinct project_path, file_path from def where id in (select id from sd)",
     "node_degrees": f"with {SYM}, {SITES} select node, count(*) as degree from (select caller_id as node from cl union all select callee_id from cl) u group by 1",
@@ -149,10 +158,10 @@ ORACLE = {
     "needs_code_summary": f"with {FNODES} select id from fnode where coalesce(code_summary, '') = '' and body_location is not null",
     "needs_summary": f"with {FNODES} select id from fnode where coalesce(code_summary, '') <> '' and coalesce(summary, '') = ''",
     "needs_embedding": f"with {FNODES} select 'FUNCTION' as label, id as key, summary from fnode where coalesce(summary, '') <> '' and summary_embedding is null union all select 'PROJECT', path, summary from project where coalesce(summary, '') <> '' and summary_embedding is null",
-    "file_prompts": f"with {FNODES} select file_path, 'The file ' || {_base('file_path')} || ' holds functions that do this: ' || string_agg(summary, '; ' order by summary) || chr(10) || 'Say what the file is for.' as prompt from fnode where coalesce(summary, '') <> '' and file_path is not null group by file_path",
-    "folder_prompts": f"with {FNODES}, {CHILD} select parent_path, 'The folder ' || {_base('parent_path')} || ' holds: ' || string_agg(label || ' ' || name || ': ' || summary, '; ' order by label || ' ' || name || ': ' || summary) || chr(10) || 'Say what the folder is for.' as prompt from chd group by parent_path",
-    "project_prompt": f"with {FNODES}, {CHILD} select 'all' as name, 'The project all holds: ' || string_agg(label || ' ' || name || ': ' || summary, '; ' order by label || ' ' || name || ': ' || summary) || chr(10) || 'Say what the project is for.' as prompt from chd where parent_path = '' having count(*) > 0",
-    "context_prompts": f"{_BASE}, {SITES}, {CONTEXT}, {FNODES} select f.id, 'The function does this: ' || f.code_summary || chr(10) || 'It is called by: ' || coalesce(nullif(replace(c.callers, ',', ', '), ''), 'none') || chr(10) || 'It calls: ' || coalesce(nullif(replace(c.callees, ',', ', '), ''), 'none') || chr(10) || 'Say what part it plays.' as prompt from fnode f join ctx c on c.id = f.id where f.code_summary is not null",
+    "file_prompts": f"{_GRAPH}, {SAID} select project_path, file_path, 'The file ' || {_base('file_path')} || ' holds functions that do this: ' || string_agg(summary, '; ' order by summary) || chr(10) || 'Say what the file is for.' as prompt from said group by project_path, file_path",
+    "folder_prompts": f"{_GRAPH}, {CHILD} select project_path, parent_path, 'The folder ' || {_base('parent_path')} || ' holds: ' || string_agg(label || ' ' || name || ': ' || summary, '; ' order by label || ' ' || name || ': ' || summary) || chr(10) || 'Say what the folder is for.' as prompt from chd where parent_path <> '' group by project_path, parent_path",
+    "project_prompt": f"{_GRAPH}, {CHILD} select project_path, 'The project ' || {_base('project_path')} || ' holds: ' || string_agg(label || ' ' || name || ': ' || summary, '; ' order by label || ' ' || name || ': ' || summary) || chr(10) || 'Say what the project is for.' as prompt from chd where parent_path = '' group by project_path",
+    "context_prompts": f"with {SYM}, {SITES}, {CONTEXT} select f.id, 'The function does this: ' || f.code_summary || chr(10) || 'It is called by: ' || coalesce(h.caller_list, 'none') || chr(10) || 'It calls: ' || coalesce(h.callee_list, 'none') || chr(10) || 'Say what part it plays.' as prompt from fsum f left join heard h on h.id = f.id where coalesce(f.code_summary, '') <> '' and coalesce(f.summary, '') = ''",
     "summaries_changed": f"with {FNODES} select id, coalesce(code_summary, summary) as summary, summary_embedding is not null and (code_summary is null or code_summary is not distinct from summary) as embedded from fnode",
     "cosine_topk": """with q as (select vec_id as query_id, cast(embedding as double[]) as e from embeddings where vec_id % 100 = 0), a as (select vec_id as id, cast(embedding as double[]) as e from embeddings),
         s as (select q.query_id, a.id, round(list_cosine_similarity(q.e, a.e), 6) as score from q join a on a.id <> q.query_id) select query_id, id, score, rank from (select *, row_number() over (partition by query_id order by score desc, id) as rank from s) x where rank <= 5""",

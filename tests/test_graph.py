@@ -73,14 +73,23 @@ def test_enrichment_rolls_up(spark, built):
     assert done.search(q, k=2).count() == 2
     assert rows(done.impact(spark.createDataFrame([("b/m.h",)], "path string")), "node") == [("a/x.c",), ("b/k.h",), ("b/m.h",), ("b/z.c",)]
 
-    # Again for one function: its file, the folder above and the project follow, nothing else.
+    # Again for one function: R calls it, so R hears another code summary; their files, the folder above and the project follow, nothing else.
     shorter = sources.withColumn("text", F.when(F.col("path") == "a/y.c", F.lit("other\ntext\n")).otherwise(F.col("text")))
     again = done.enrich(shorter, echo, only=spark.createDataFrame([("H1",)], "id string"), changed=spark.createDataFrame([("deleted", "b/none.c")], "change_type string, path string"))
     differs = lambda kind, key: {r[0] for r in again.tables[kind].select(key, "summary").exceptAll(t[kind].select(key, "summary")).collect()}
-    assert differs("function", "id") == {"H1"} and differs("file", "path") == {"a/y.c"} and differs("folder", "path") == {"a"} and differs("project", "path") == {"/p"}
+    assert differs("function", "id") == {"H1", "R"} and differs("file", "path") == {"a/y.c", "r.c"} and differs("folder", "path") == {"a"} and differs("project", "path") == {"/p"}
     assert again.tables["function"].filter("summary is not null and summary_embedding is null").count() == 0
 
 
+def test_context_is_what_the_neighbours_do(spark):
+    f = spark.createDataFrame([("a", "does a"), ("b", None), ("c", ""), ("d", "does d"), ("e", "does d")], "id string, code_summary string")
+    c = spark.createDataFrame([("a", "d"), ("b", "d"), ("c", "d"), ("d", "d"), ("a", "e"), ("a", "zz")], "caller_id string, callee_id string")
+    got = {r.id: (r.callers, r.callees) for r in traverse.call_context(f, c).collect()}
+    assert got == {"a": ([], ["does d"]), "b": ([], ["does d"]), "c": ([], ["does d"]), "d": (["does a", "does d"], ["does d"]), "e": (["does a"], [])}
+    prompt = enrich.context_prompts(f.filter("id = 'a'"), traverse.call_context(f, c, f.filter("id = 'a'"))).head().prompt
+    assert "called by: none" in prompt and "It calls: does d\n" in prompt
+
+
 def test_failed_summaries_keep_the_old_value(spark):
     nodes_ = spark.createDataFrame([("a", "old", [1.0]), ("b", "same", [1.0])], "id string, summary string, summary_embedding array<float>")
 
