@@ -4,20 +4,37 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.api import CodeGraph, Inputs
-from symgraph.operators import store, traverse
+from symgraph.functions import paths as P
+from symgraph.operators import calls, render, store, traverse
+from symgraph.session import cut
 from symgraph.sources import code, git, markers
 
 
-def _inputs(spark: SparkSession, index: str, root: str, cache: str | None) -> Inputs:
+def _index(spark: SparkSession, index: str, cache: str | None) -> tuple[DataFrame, DataFrame]:
     from symgraph.sources.index_yaml import cached_index, read_index, symbols_and_refs
 
     docs = cached_index(spark, index, cache) if cache else read_index(spark, index)
-    symbols, refs = symbols_and_refs(docs.filter("body is not null").select("doc_seq", "body"))
-    spans, includes = code.extract(code.read_tree(spark, root))
-    return Inputs(symbols, refs, spans, includes)
+    return symbols_and_refs(docs.filter("body is not null").select("doc_seq", "body"))
+
+
+def _extracted(spark: SparkSession, root: str, commands: str | None, sources: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(spans, includes) of the given sources, or of the whole tree; includes are looked for in the whole tree."""
+    known = code.read_tree(spark, root)
+    parsed = code.read_compile_commands(spark, commands) if commands else None
+    return code.extract(known if sources is None else sources, commands=parsed, known=known.select("path"))
+
+
+def _inputs(spark: SparkSession, a: argparse.Namespace, sources: DataFrame | None = None) -> Inputs:
+    return Inputs(*_index(spark, a.index, a.cache), *_extracted(spark, a.root, a.compile_commands, sources))
+
+
+def _functions(spark: SparkSession, a: argparse.Namespace) -> tuple[CodeGraph, Inputs]:
+    """A graph of functions alone, as far as calls need it."""
+    x = _inputs(spark, a)
+    return CodeGraph(spark, a.root.rstrip("/")).with_functions(x), x
 
 
 def _show(df: DataFrame, to: str | None) -> None:
@@ -28,9 +45,6 @@ def _show(df: DataFrame, to: str | None) -> None:
 
 
 def _sources(spark: SparkSession, root: str) -> DataFrame:
-    from symgraph.functions import paths as P
-    from pyspark.sql import functions as F
-
     return code.read_tree(spark, root).select(P.relative("path", F.lit(root)).alias("path"), "text")
 
 
@@ -44,28 +58,38 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(x)
         return c
 
-    for name, about in (("build", "build the graph of a project from its index and sources"), ("update", "bring a graph up to a commit")):
-        c = add(name, about, "index", "root", "graph")
+    def scanned(c: argparse.ArgumentParser) -> argparse.ArgumentParser:
         c.add_argument("--cache", help="folder of the parsed index")
-        c.add_argument("--enrich", action="store_true", help="summaries and embeddings with the built-in stand-ins")
-        if name == "build":
-            c.add_argument("--keep-orphans", action="store_true")
-            c.add_argument("--name")
-        else:
-            c.add_argument("--old")
-            c.add_argument("--new", default="HEAD")
-            c.add_argument("--to", help="folder of the updated graph; it must differ from the old one", required=True)
+        c.add_argument("--compile-commands", help="compilation database, for the folders in which includes are looked for")
+        return c
+
+    c = scanned(add("build", "build the graph of a project from its index and sources", "index", "root", "graph"))
+    c.add_argument("--enrich", action="store_true", help="summaries and embeddings with the built-in stand-ins")
+    c.add_argument("--keep-orphans", action="store_true")
+    c.add_argument("--name")
+    c = scanned(add("update", "bring a graph up to a commit", "index", "root", "graph"))
+    c.add_argument("--enrich", action="store_true", help="new summaries for what the changes touch")
+    c.add_argument("--old", help="commit of the graph, if it holds none")
+    c.add_argument("--new", default="HEAD")
+    c.add_argument("--to", help="folder of the updated graph; it must differ from the old one", required=True)
     add("enrich", "summaries and embeddings of a graph", "graph", "root", "to")
-    add("schema", "print labels, properties and edge types", "graph")
-    c = add("impact", "sources that depend on headers", "graph")
+    c = add("schema", "print labels, properties and edge types", "graph")
+    c.add_argument("--json", action="store_true")
+    c = add("impact", "sources that depend on headers, of a graph or (with --root) of a source tree", "graph")
     c.add_argument("headers", nargs="+")
+    c.add_argument("--root", help="the first argument is a compilation database ('-': none) of this source tree")
     c.add_argument("--out")
-    c = add("stats", "statistics of the call graph", "index", "root")
-    c.add_argument("--cache")
-    c = add("spans", "function bodies of a source tree", "root")
+    scanned(add("nodes", "symbols of an index as nodes, without calls", "index", "root", "to"))
+    c = scanned(add("calls", "the call graph of an index alone", "index", "root", "to"))
+    c.add_argument("--script", action="store_true", help="write statements in place of a table")
+    scanned(add("stats", "statistics of the call graph", "index", "root"))
+    c = add("spans", "function bodies and includes of a source tree", "root")
+    c.add_argument("--json", action="store_true", help="one document per file")
+    c.add_argument("--compile-commands")
     c.add_argument("--out")
-    c = add("diff", "changed sources between two commits", "root", "old")
+    c = add("diff", "changed files between two commits, in five lists", "root", "old")
     c.add_argument("--new", default="HEAD")
+    add("headers", "whether headers are C or C++", "root")
     c = add("markers", "distinct lines that start with a marker", "file")
     c.add_argument("--marker", default="--- !")
     c.add_argument("--count-repeats", action="store_true")
@@ -73,40 +97,62 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--stop-on-error", action="store_true")
     c = add("delete-property", "set a property of a label, or of all labels, to null", "graph", "property", "to")
     c.add_argument("--label")
+    c = add("vectors", "write, show or drop the vector index of a label: its usable vectors, unit length", "graph", "action")
+    c.add_argument("--label", default="function")
+    c = add("outline", "braces, brackets and names of a C file as a drawing", "file")
+    c.add_argument("--out")
+    p.add_argument("--memory", action="store_true", help="print where the driver's Python holds memory at the end")
     return p
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("symgraph").getOrCreate()
+    if not a.memory:
+        return _run(a, spark)
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        _run(a, spark)
+    finally:
+        for line in tracemalloc.take_snapshot().statistics("lineno")[:10]:
+            print(line)
+        tracemalloc.stop()
+
+
+def _run(a: argparse.Namespace, spark: SparkSession) -> None:
     if a.command == "build":
-        commit = _commit(a.root)
-        graph = CodeGraph.build(spark, a.root, _inputs(spark, a.index, a.root, a.cache), a.name, commit, a.keep_orphans)
+        graph = CodeGraph.build(spark, a.root, _inputs(spark, a), a.name, _commit(a.root), a.keep_orphans)
         (graph.enrich(_sources(spark, a.root)) if a.enrich else graph).save(a.graph)
     elif a.command == "update":
-        graph = CodeGraph.load(spark, a.graph)
-        if graph.root != a.root.rstrip("/"):
-            raise SystemExit(f"the graph is that of {graph.root}")
-        old = a.old or graph.tables["project"].head().commit_hash
-        changed = git.source_changes(spark, a.root, old, a.new)
-        graph = graph.update(_inputs(spark, a.index, a.root, a.cache), changed, git._git(a.root, "rev-parse", a.new).strip())
-        (graph.enrich(_sources(spark, a.root)) if a.enrich else graph).save(a.to)
+        _update(a, spark)
     elif a.command == "enrich":
         CodeGraph.load(spark, a.graph).enrich(_sources(spark, a.root)).save(a.to)
     elif a.command == "schema":
-        print(CodeGraph.load(spark, a.graph).schema())
-    elif a.command == "impact":
         graph = CodeGraph.load(spark, a.graph)
-        _show(graph.impacted_sources(spark.createDataFrame([(h,) for h in a.headers], "path string")), a.out)
+        print(graph.schema_json() if a.json else graph.schema())
+    elif a.command == "impact":
+        _impact(a, spark)
+    elif a.command == "nodes":
+        graph, _ = _functions(spark, a)
+        graph.tables["function"].write.mode("overwrite").parquet(f"{a.to}/function")
+        graph.tables["data_structure"].write.mode("overwrite").parquet(f"{a.to}/data_structure")
+    elif a.command == "calls":
+        graph, x = _functions(spark, a)
+        edges = calls.call_edges(graph.call_sites(x.refs))
+        (store.edge_script(edges, "calls").write.mode("overwrite").text(a.to) if a.script else edges.write.mode("overwrite").parquet(a.to))
     elif a.command == "stats":
-        from symgraph.operators import calls
-
-        x = _inputs(spark, a.index, a.root, a.cache)
-        _show(calls.call_stats(calls.sites_by_container(x.refs, x.symbols.filter("kind = 'Function'"))), None)
+        graph, x = _functions(spark, a)
+        _show(graph.call_stats(x.refs), None)
     elif a.command == "spans":
-        _show(code.extract(code.read_tree(spark, a.root))[0], a.out)
+        spans, includes = _extracted(spark, a.root, a.compile_commands)
+        _show(code.by_file(spans, includes) if a.json else spans, a.out)
     elif a.command == "diff":
-        _show(git.diff(spark, a.root, a.old, a.new).drop("seq"), None)
+        for kind, items in git.changed_lists(spark, a.root, a.old, a.new).items():
+            print(f"{kind}: {len(items)}", *(f"  {x['original']} -> {x['new']}" if isinstance(x, dict) else f"  {x}" for x in items), sep="\n")
+    elif a.command == "headers":
+        _show(code.header_languages(code.read_tree(spark, a.root)), None)
     elif a.command == "markers":
         lines = spark.read.text(a.file, wholetext=True).selectExpr("input_file_name() as file", "value as text")
         find = markers.marker_runs if a.count_repeats else markers.marker_lines
@@ -125,6 +171,46 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         _show(store.property_count({x: graph.tables[x] for x in labels}, a.property), None)
         graph.tables |= {x: store.drop_property(graph.tables[x], a.property) for x in labels}
         graph.save(a.to)
+    elif a.command == "vectors":
+        graph = CodeGraph.load(spark, a.graph)
+        {"write": graph.write_vectors, "drop": graph.drop_vectors, "show": lambda g, x: _show(graph.vectors(g, x), None)}[a.action](a.graph, a.label)
+    elif a.command == "outline":
+        _show(render.outline(spark.read.text(a.file, wholetext=True).select("value")), a.out)
+
+
+def _update(a: argparse.Namespace, spark: SparkSession) -> None:
+    """Reads only what the changes touch; a commit that the graph is at already changes nothing."""
+    graph = CodeGraph.load(spark, a.graph)
+    if graph.root != a.root.rstrip("/"):
+        raise SystemExit(f"the graph is that of {graph.root}")
+    old = a.old or graph.tables["project"].head().commit_hash
+    if not old:
+        raise SystemExit("the graph holds no commit; name the one it was built from with --old")
+    new = git._git(a.root, "rev-parse", a.new).strip()
+    if git._git(a.root, "rev-parse", old).strip() == new:
+        print("already at", new)
+        return graph.save(a.to)
+    changed = cut(git.source_changes(spark, a.root, old, new), "changes")
+    dirty = cut(graph.dirty_files(changed), "dirty")
+    sources = cut(code.read_files(dirty.select(P.joined(F.lit(graph.root), "path").alias("path"))), "sources")
+    graph = graph.update(_inputs(spark, a, sources), changed, new)
+    if a.enrich:
+        relative = sources.select(P.relative("path", F.lit(graph.root)).alias("path"), "text")
+        graph = graph.enrich(relative, only=graph.functions_in(dirty), changed=changed)
+    graph.save(a.to)
+
+
+def _impact(a: argparse.Namespace, spark: SparkSession) -> None:
+    headers = spark.createDataFrame([(h,) for h in a.headers], "path string")
+    if a.root:
+        _, edges = _extracted(spark, a.root, None if a.graph == "-" else a.graph)
+        headers = headers.select(code.normal_path(F.when(F.col("path").startswith("/"), F.col("path")).otherwise(P.joined(F.lit(a.root.rstrip("/")), "path"))).alias("path"))
+    else:
+        edges = CodeGraph.load(spark, a.graph).tables["includes"]
+    edges = cut(edges, "includes")
+    _show(traverse.impacted_sources(edges, headers, "including", "included"), a.out)
+    for r in traverse.similar_headers(edges, headers).toLocalIterator():
+        print(f"{r.seed} is included nowhere; of the same name: {', '.join(r.similar) or 'none'}")
 
 
 def _commit(root: str) -> str | None:

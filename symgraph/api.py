@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from symgraph.functions import paths as P
 from symgraph.operators import calls, changes, enrich, nodes, store, traverse
@@ -30,6 +32,7 @@ class CodeGraph:
     spark: SparkSession
     root: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    failures: DataFrame | None = None  # (label, key, error): prompts that the last enrichment has no answer to
 
     # Building
 
@@ -38,7 +41,8 @@ class CodeGraph:
         graph = cls(spark, root.rstrip("/"))
         project = spark.createDataFrame([(graph.root, name or graph.root.rsplit("/", 1)[-1] or "Project", commit, None, None)], store.schema_of("project"))
         graph.tables = {"project": project, **graph._structure(inputs)}
-        graph.tables["calls"] = nodes.pair_edges(graph._call_pairs(inputs.refs, graph.tables["function"]), graph.tables["function"], "caller_id", "callee_id", "id")
+        graph.tables["function"] = cut(graph.tables["function"], "functions")
+        graph.tables["calls"] = calls.call_edges(graph.call_sites(inputs.refs))
         if not keep_orphans:
             graph._drop_orphans()
         return graph.materialized()
@@ -69,17 +73,17 @@ class CodeGraph:
             "includes": nodes.pair_edges(pairs, files, "including", "included", "path"),
         }
 
-    def _call_pairs(self, refs: DataFrame, functions: DataFrame) -> DataFrame:
-        """Caller and callee pairs: by container if the index has containers, else by the enclosing body."""
-        flags = calls.feature_flags(refs).head()
-        known = functions.select("id", "name")
-        if flags.has_container:
-            return calls.call_edges(calls.sites_by_container(refs, known))
-        kinds = calls.CALL_KINDS_NEW if flags.has_call_kind else calls.CALL_KINDS_OLD
-        sites = refs.filter(F.col("kind").isin(*kinds)).select(F.struct("ref_id", "symbol_id").alias("site_id"), P.uri_path(F.col("location.file_uri")).alias("file"), F.col("location.start_line").alias("line"), F.col("location.start_column").alias("column"))
-        b = lambda i: F.get("body_location", i)
-        bodies = functions.filter("size(body_location) = 4 and file_path is not null").select("id", P.joined(F.lit(self.root), "file_path").alias("file"), b(0).alias("start_line"), b(1).alias("start_column"), b(2).alias("end_line"), b(3).alias("end_column"), F.col("id").alias("seq"))
-        return calls.first_enclosing_body(sites, bodies).select(F.col("id").alias("caller_id"), F.col("site_id.symbol_id").alias("callee_id")).distinct()
+    def with_functions(self, x: Inputs) -> CodeGraph:
+        """The graph with the index's functions and data structures alone, which is what calls need."""
+        functions, structures = self._symbol_rows(x.symbols, x.spans)
+        return CodeGraph(self.spark, self.root, {"function": cut(functions, "functions"), "data_structure": structures})
+
+    def call_sites(self, refs: DataFrame, flags: Row | None = None) -> DataFrame:
+        """Call sites between the graph's functions; flags: the format of the whole index, if refs are some of its references."""
+        return calls.call_sites(refs, self.tables["function"], self.root, flags or calls.feature_flags(refs).head())
+
+    def call_stats(self, refs: DataFrame) -> DataFrame:
+        return calls.call_stats(self.call_sites(refs), self.tables["function"])
 
     def _drop_orphans(self) -> None:
         t = self.tables
@@ -111,14 +115,23 @@ class CodeGraph:
 
     # Updating
 
+    def dirty_files(self, changed: DataFrame) -> DataFrame:
+        """(path), relative: what a change set (change_type, path) makes to be read again, files that include a changed header among it."""
+        headers = changes.changed_headers(changed).select("path")
+        impacted = traverse.impact(self.tables["includes"], headers, "including", "included").select(F.col("node").alias("path"))
+        return changes.dirty_files(changed, [], impacted)
+
+    def functions_in(self, files: DataFrame) -> DataFrame:
+        """(id) of the functions that the given files (path) define."""
+        inside = self.tables["defines"].filter("dst_label = 'FUNCTION'")
+        return inside.join(files.select(F.col("path").alias("file_path")), "file_path", "left_semi").select("id").distinct()
+
     def update(self, inputs: Inputs, changed: DataFrame, commit: str | None = None) -> CodeGraph:
         """The graph after a change set (change_type, relative path), from the new index and the new
         spans and includes of at least the dirty files. Equals a new build; summaries of symbols in
         clean files are kept."""
         t = self.tables
-        headers = changes.changed_headers(changed).select("path")
-        impacted = traverse.impact(t["includes"], headers, "including", "included").select(F.col("node").alias("path"))
-        dirty = cut(changes.dirty_files(changed, [], impacted), "dirty")
+        dirty = cut(self.dirty_files(changed), "dirty")
         deleted = cut(changed.filter("change_type = 'deleted'").select("path").distinct(), "deleted")
         stamp = lambda df: df.withColumn("commit_hash", F.coalesce(F.lit(commit), F.col("commit_hash")))
         if dirty.isEmpty() and deleted.isEmpty():
@@ -150,9 +163,10 @@ class CodeGraph:
         touched = seeds.unionByName(gone).distinct()
         old_calls = store.without_keys(store.without_keys(t["calls"], touched, "caller_id", "id"), touched, "callee_id", "id")
         near_refs = self._refs_near(inputs.refs, touched, dirty)
-        fresh = self._call_pairs(near_refs, functions) if not near_refs.isEmpty() else old_calls.limit(0)
-        out["calls"] = nodes.pair_edges(old_calls.unionByName(fresh), functions, "caller_id", "callee_id", "id")
+        flags = calls.feature_flags(inputs.refs).head()  # of the whole index: what lies near the changes may lack what tells its format
         graph = CodeGraph(self.spark, self.root, out)
+        fresh = calls.call_edges(graph.call_sites(near_refs, flags))
+        out["calls"] = nodes.pair_edges(old_calls.unionByName(fresh), functions, "caller_id", "callee_id", "id")
         graph._drop_orphans()
         return graph.materialized()
 
@@ -173,14 +187,16 @@ class CodeGraph:
         path); then just these functions, those one call from a changed code summary, the files that
         define a changed function or changed themselves, and the folders above are looked at.
         """
-        t, targeted = dict(self.tables), only is not None or changed is not None
+        t, targeted, failed = dict(self.tables), only is not None or changed is not None, []
         seeds = only if only is not None else self.spark.createDataFrame([], "id string")
 
         def apply(name: str, prompts: DataFrame, column: str = "summary") -> DataFrame:
             """Writes new summaries; gives the keys whose text changed."""
             key = NODE_KEYS[name]
             before = t[name].select(key, F.col(column).alias("_old"))
-            t[name] = cut(enrich.apply_summaries(t[name], enrich.summarize(prompts, [key], summarizer), [key], column), "enrich")
+            said = cut(enrich.summarize(prompts, [key], summarizer), "said")
+            failed.append(said.filter("error is not null").select(F.lit(name).alias("label"), F.col(key).alias("key"), "error"))
+            t[name] = cut(enrich.apply_summaries(t[name], said.select(key, "new_summary"), [key], column), "enrich")
             return cut(t[name].join(before, key).filter(~F.col(column).eqNullSafe(F.col("_old"))).select(key), "changed")
 
         todo = t["function"].join(seeds.select("id").distinct(), "id", "left_semi") if targeted else enrich.needs_code_summary(t["function"])
@@ -218,7 +234,9 @@ class CodeGraph:
         for x in labels:
             mine = found.filter(F.col("label") == x).select(F.col("key").alias(NODE_KEYS[x]), F.col("embedding").alias("_new"))
             t[x] = t[x].join(mine, NODE_KEYS[x], "left").withColumn("summary_embedding", F.coalesce("_new", "summary_embedding")).select(*t[x].columns)
-        return CodeGraph(self.spark, self.root, t).materialized()
+        graph = CodeGraph(self.spark, self.root, t).materialized()
+        graph.failures = reduce(DataFrame.unionByName, failed)
+        return graph
 
     # Questions
 
@@ -231,10 +249,33 @@ class CodeGraph:
     def neighbours(self, ids: DataFrame) -> DataFrame:
         return traverse.neighbours(ids, self.tables["calls"])
 
-    def schema(self) -> str:
+    def _edge_types(self) -> DataFrame:
         t = self.tables
         edges = {"CONTAINS": (t["contains"], "src_label", "dst_label"), "DEFINES": (t["defines"].withColumn("src_label", F.lit("FILE")), "src_label", "dst_label"), "INCLUDES": (t["includes"], None, None), "CALLS": (t["calls"], None, None)}
-        return store.schema_text({k.upper(): t[k] for k in NODE_KEYS}, store.edge_types(edges, {"INCLUDES": ("FILE", "FILE"), "CALLS": ("FUNCTION", "FUNCTION")}))
+        return store.edge_types(edges, {"INCLUDES": ("FILE", "FILE"), "CALLS": ("FUNCTION", "FUNCTION")})
+
+    def schema(self) -> str:
+        return store.schema_text({k.upper(): self.tables[k] for k in NODE_KEYS}, self._edge_types())
+
+    def schema_json(self) -> str:
+        """The same as JSON: node properties with their types, key and count, and edge types with counts."""
+        nodes_ = {k.upper(): {"key": NODE_KEYS[k], "count": self.tables[k].count(), "properties": {n: t for _, n, t in store.property_types({k: self.tables[k]})}} for k in NODE_KEYS}
+        return json.dumps({"nodes": nodes_, "edges": [r.asDict() for r in self._edge_types().orderBy("src_label", "edge", "dst_label").collect()]}, indent=2)  # one row per edge type
+
+    # Vector index: the usable vectors of a label at unit length, beside the graph
+
+    def write_vectors(self, path: str, label: str = "function", dims: int = 384) -> None:
+        rows = self.tables[label].filter((F.size("summary_embedding") == dims) & ~F.exists("summary_embedding", lambda x: x.isNull() | F.isnan(x)))
+        length = F.sqrt(F.aggregate("summary_embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+        unit = rows.select(NODE_KEYS[label], "summary_embedding", length.alias("_n")).filter("_n > 0")
+        unit.select(NODE_KEYS[label], F.transform("summary_embedding", lambda x: (x / F.col("_n")).cast("float")).alias("summary_embedding")).write.mode("overwrite").parquet(f"{path}/vectors-{label}")
+
+    def vectors(self, path: str, label: str = "function") -> DataFrame:
+        return self.spark.read.parquet(f"{path}/vectors-{label}")
+
+    def drop_vectors(self, path: str, label: str = "function") -> None:
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/vectors-{label}")
+        at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
     def search(self, queries: DataFrame, label: str = "function", k: int = 5, dims: int = 384) -> DataFrame:
         """The k nodes most similar to each query (same key column, summary_embedding)."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 #: Blanks that do not count around a value.
@@ -25,3 +27,10 @@ def is_reference(key: Column) -> Column:
 def plain(c: Column | str) -> Column:
     """A value in which null equals '' and surrounding blanks do not count."""
     return F.coalesce(trimmed(c), F.lit(""))
+
+
+def blanked(text: str) -> str:
+    """C text with comments, strings and preprocessor lines as blanks, every place as it was."""
+    keep_lines = lambda m: re.sub(r"[^\n]", " ", m.group())
+    text = re.sub(r'/\*.*?(?:\*/|\Z)|//[^\n]*|"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'', keep_lines, text, flags=re.S)
+    return re.sub(r"^[ \t]*#(?:[^\n]*\\\n)*[^\n]*", keep_lines, text, flags=re.M)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from symgraph.functions import paths as P
 from symgraph.functions.text import is_reference
 
 # The kinds of a reference that is a call, with and without the call bit of the newer format.
@@ -31,6 +32,29 @@ def sites_by_container(refs: DataFrame, functions: DataFrame) -> DataFrame:
     return calls.join(callee, "symbol_id").join(caller, "container_id").select("ref_id", F.col("container_id").alias("caller_id"), "caller_name", F.col("symbol_id").alias("callee_id"), "callee_name")
 
 
+def sites_by_body(refs: DataFrame, functions: DataFrame, bodies: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
+    """The same from an index without containers: the caller is the first function whose body encloses the reference; refs of the given kinds count."""
+    at = F.col("location")
+    sites = refs.filter(F.col("kind").isin(*kinds) & at.isNotNull()).select(F.col("ref_id").alias("site_id"), "symbol_id", P.uri_path(at["file_uri"]).alias("file"), at["start_line"].alias("line"), at["start_column"].alias("column"))
+    callee = functions.select(F.col("id").alias("symbol_id"), F.col("name").alias("callee_name"))
+    known = sites.join(callee, "symbol_id")
+    inside = first_enclosing_body(known.withColumn("site_id", F.struct("site_id", "symbol_id", "callee_name")), bodies)
+    caller = functions.select("id", F.col("name").alias("caller_name"))
+    return inside.join(caller, "id").select(F.col("site_id.site_id").alias("ref_id"), F.col("id").alias("caller_id"), "caller_name", F.col("site_id.symbol_id").alias("callee_id"), F.col("site_id.callee_name").alias("callee_name"))
+
+
+def call_sites(refs: DataFrame, functions: DataFrame, root: str, flags: Row) -> DataFrame:
+    """Call sites by the format of the whole index (flags: of ``feature_flags`` over all its references, also where refs are some of them).
+
+    functions: id, name, file_path below root, body_location.
+    """
+    if flags["has_container"]:
+        return sites_by_container(refs, functions)
+    b = lambda i: F.get("body_location", i)
+    bodies = functions.filter("size(body_location) = 4 and file_path is not null").select("id", P.joined(F.lit(root), "file_path").alias("file"), b(0).alias("start_line"), b(1).alias("start_column"), b(2).alias("end_line"), b(3).alias("end_column"), F.col("id").alias("seq"))
+    return sites_by_body(refs, functions, bodies, CALL_KINDS_NEW if flags["has_call_kind"] else CALL_KINDS_OLD)
+
+
 def call_edges(sites: DataFrame) -> DataFrame:
     return sites.select("caller_id", "callee_id").distinct()
 

@@ -8,6 +8,9 @@ keeps its old value.
 from __future__ import annotations
 
 import hashlib
+import json
+import time
+import urllib.request
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -111,20 +114,55 @@ def _said() -> Column:
 
 
 def summarize(prompts: DataFrame, key: list[str], summarizer: Summarizer, batch: int = 64) -> DataFrame:
-    """(key, new_summary): one pass over the prompts, batch by batch; failures are left out."""
+    """(key, new_summary, error): one pass over the prompts, batch by batch.
+
+    A row without an answer has no new_summary and says why: the plug-in's error, or that the answer was empty.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch):
-                part = frame.iloc[start : start + batch]
+                part, error = frame.iloc[start : start + batch], None
                 try:
-                    answers = summarizer(part["prompt"].tolist())
-                except Exception:  # noqa: BLE001
-                    answers = [""] * len(part)
-                yield part[key].assign(new_summary=answers)
+                    answers = list(summarizer(part["prompt"].tolist()))
+                    if len(answers) != len(part):
+                        raise ValueError(f"{len(answers)} answers to {len(part)} prompts")
+                except Exception as e:  # noqa: BLE001
+                    answers, error = [None] * len(part), f"{type(e).__name__}: {e}"[:500]
+                yield part[key].assign(new_summary=[x or None for x in answers], error=[error if error else None if x else "empty answer" for x in answers])
 
     kinds = ", ".join(f"`{k}` {prompts.schema[k].dataType.simpleString()}" for k in key)
-    return prompts.select(*key, "prompt").mapInPandas(run, f"{kinds}, new_summary string").filter("new_summary is not null and new_summary <> ''")
+    return prompts.select(*key, "prompt").mapInPandas(run, f"{kinds}, new_summary string, error string")
+
+
+def patient(plugin: Callable[[list], list], attempts: int = 4, wait: float = 1.0) -> Callable[[list], list]:
+    """A plug-in that is asked again after an error, each time after twice the wait."""
+
+    def ask(batch: list) -> list:
+        for n in range(attempts):
+            try:
+                return plugin(batch)
+            except Exception:  # noqa: BLE001
+                if n + 1 == attempts:
+                    raise
+                time.sleep(wait * 2**n)
+        return []
+
+    return ask
+
+
+def http_plugin(url: str, body: Callable[[object], dict], answer: Callable[[dict], object], headers: dict[str, str] | None = None, timeout: float = 300) -> Callable[[list], list]:
+    """A summarizer or embedder behind an HTTP service: one POST of ``body(item)`` as JSON per item, ``answer`` takes the result out of the reply."""
+
+    def ask(batch: list) -> list:
+        out = []
+        for item in batch:
+            request = urllib.request.Request(url, json.dumps(body(item)).encode(), {"Content-Type": "application/json"} | (headers or {}))  # noqa: S310
+            with urllib.request.urlopen(request, timeout=timeout) as reply:  # noqa: S310
+                out.append(answer(json.load(reply)))
+        return out
+
+    return ask
 
 
 def apply_summaries(nodes: DataFrame, summaries: DataFrame, key: list[str], column: str = "summary", only_if_changed: bool = True) -> DataFrame:

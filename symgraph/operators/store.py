@@ -50,6 +50,14 @@ def purge_symbols(nodes: DataFrame, defines: DataFrame, edges: dict[str, tuple[D
     return without_keys(nodes, gone, "id", "id"), without_keys(defines, gone, "id", "id"), cut_edges
 
 
+def purge_counts(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(what, n_before, n_after) of what a purge or a prune leaves of each table: name -> (before, after)."""
+    one = lambda name, df, column: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), F.lit(column).alias("at"), "n")
+    every = reduce(DataFrame.unionByName, [one(name, df, at) for name, pair in tables.items() for df, at in zip(pair, ("before", "after"))])
+    of = lambda at: F.sum(F.when(F.col("at") == at, F.col("n")))
+    return every.groupBy("what").agg(of("before").alias("n_before"), of("after").alias("n_after"))
+
+
 def purge_includes(includes: DataFrame, files: DataFrame) -> DataFrame:
     return without_keys(includes, files, "including", "path")
 
@@ -117,6 +125,13 @@ def schema_text(tables: dict[str, DataFrame], edges: DataFrame) -> str:
     return "\n".join(lines)
 
 
+def edge_script(edges: DataFrame, table: str) -> DataFrame:
+    """(value): an INSERT statement per edge, for ``run_script`` or another engine; quotes are doubled."""
+    text = lambda c: F.concat(F.lit("'"), F.replace(F.col(c).cast("string"), F.lit("'"), F.lit("''")), F.lit("'"))
+    values = F.concat_ws(", ", *[F.coalesce(text(c), F.lit("NULL")) for c in edges.columns])
+    return edges.select(F.concat(F.lit(f"INSERT INTO {table} ({', '.join(edges.columns)}) VALUES ("), values, F.lit(");")).alias("value"))
+
+
 def run_script(spark, text: str, stop_on_error: bool = False) -> list[tuple[str, DataFrame | None, str | None]]:
     """Run a script of SQL statements split at ';', without blank and comment lines ('//' or '--'). Failures are kept beside their statement and the run goes on."""
     body = "\n".join(x for x in text.splitlines() if x.strip() and not x.strip().startswith(("//", "--")))

@@ -70,6 +70,15 @@ def impacted_sources(edges: DataFrame, seeds: DataFrame, src: str, dst: str, suf
     return all_seeds.join(lists, "seed", "left").select("seed", F.coalesce("sources", F.array().cast("array<string>")).alias("sources"))
 
 
+def similar_headers(edges: DataFrame, seeds: DataFrame, dst: str = "included") -> DataFrame:
+    """(seed, similar): for seeds that nothing includes, the included files of the same name, sorted."""
+    included = edges.select(F.col(dst).alias("path")).distinct()
+    lost = seeds.select(F.col(seeds.columns[0]).alias("seed")).distinct().join(included.withColumnRenamed("path", "seed"), "seed", "left_anti")
+    named = included.select(P.basename("path").alias("_name"), "path")
+    near = lost.withColumn("_name", P.basename("seed")).join(named, "_name", "left").groupBy("seed").agg(F.array_sort(F.collect_list("path")).alias("similar"))
+    return near
+
+
 def neighbours(seeds: DataFrame, calls: DataFrame) -> DataFrame:
     """(id): the seeds and everything one call away, in either direction."""
     s = seeds.select("id").distinct()
@@ -100,6 +109,12 @@ def subset_one_hop(seeds: DataFrame, refs: DataFrame) -> DataFrame:
     return s.unionByName(containers).unionByName(targets).filter("id is not null and id <> ''").distinct()
 
 
+def top_included(edges: DataFrame, n: int) -> DataFrame:
+    """(included, n_including): the n files that most files include directly, ties by path."""
+    per = edges.select("including", "included").distinct().groupBy("included").agg(F.count("*").alias("n_including"))
+    return per.orderBy(F.desc("n_including"), "included").limit(n)
+
+
 def degrees(*edges: DataFrame) -> DataFrame:
     """(node, degree) over edge tables of two columns."""
     ends = None

@@ -182,6 +182,31 @@ def span_enrichment(s, d):
     return calls.with_bodies(f, spans).select("id", F.get("body_location", 0).alias("first_line"), F.get("body_location", 2).alias("last_line"))
 
 
+@query
+def call_sites_old(s, d):
+    """Calls of the older format: references without container and call bit, each in the body around it."""
+    refs = V.refs(s, d, place=True).filter("container_id = ''")
+    return calls.sites_by_body(refs, V.functions(s, d), V.bodies(s, d), calls.CALL_KINDS_OLD)
+
+
+@query
+def call_edge_script(s, d):
+    return store.edge_script(_calls(s, d), "calls")
+
+
+@query
+def span_totals(s, d):
+    """How many functions in files there are, and how many a body was found for."""
+    return span_enrichment(s, d).agg(F.count("*").alias("n_functions"), F.count("first_line").alias("n_matched"))
+
+
+@query
+def node_json(s, d):
+    """Functions as JSON texts, as they go to another engine."""
+    rows = _functions(s, d).select("id", "name", "kind", "scope", "has_definition", "file_path")
+    return rows.select("id", F.to_json(F.struct("name", "kind", "scope", "has_definition", "file_path")).alias("document"))
+
+
 # Includes and impact
 
 
@@ -228,6 +253,25 @@ def impact_all_headers(s, d):
     return traverse.impact(edges, V.headers(edges), "including", "included").groupBy("seed").agg(F.count("*").alias("n_files"))
 
 
+@query
+def file_nodes_with_includes(s, d):
+    """Files of symbols and, in their project, of both ends of include pairs."""
+    roots = table(s, d, "project").select(F.col("path").alias("project_path"))
+    pairs = V.includes(s, d).withColumn("_at", F.explode(P.ancestors("including")))
+    return nodes.file_nodes(V.symbols(s, d), pairs.join(roots, F.col("_at") == F.col("project_path")).select("project_path", "including", "included"))
+
+
+@query
+def top_included(s, d):
+    return traverse.top_included(V.includes(s, d), 20)
+
+
+@query
+def similar_headers(s, d):
+    """Changed headers that nothing includes, with included files of the same name."""
+    return traverse.similar_headers(V.includes(s, d), _changed_headers(s, d)).select("seed", F.concat_ws(",", "similar").alias("similar"))
+
+
 # Neighbourhoods
 
 
@@ -271,6 +315,19 @@ def disconnected_functions(s, d):
     return store.disconnected(_functions(s, d).select("id"), "id", [_calls(s, d), _defines(s, d).select("id")])
 
 
+@query
+def uncalled_symbols(s, d):
+    """Functions and data structures at no end of a call."""
+    return store.disconnected(_rows(s, d).filter(F.col("kind").isin(*nodes.FUNCTION_KINDS, *nodes.STRUCTURE_KINDS)).select("id", "kind"), "id", [_calls(s, d)])
+
+
+@query
+def leaf_functions(s, d):
+    """Names that are called and never call."""
+    sites = _sites(s, d)
+    return sites.select(F.col("callee_name").alias("name")).distinct().join(sites.select(F.col("caller_name").alias("name")).distinct(), "name", "left_anti")
+
+
 # Maintenance
 
 
@@ -283,6 +340,21 @@ def overlay_upsert(s, d):
     return store.overlay(old, new, ["id"], "gone")
 
 
+@query
+def overlay_structures(s, d):
+    """The same for data structures."""
+    one = lambda which: V.symbols(s, d, which).filter(F.col("kind").isin(*nodes.STRUCTURE_KINDS)).select("id", "name", F.nullif("scope", F.lit("")).alias("scope"))
+    return store.overlay(one("ended"), one("current"), ["id"])
+
+
+@query
+def purge_counts(s, d):
+    """(what, n_before, n_after) of a purge of deleted files."""
+    f, defines, edges = _functions(s, d).select("id"), _absolute_defines(s, d), _calls(s, d)
+    kept, left, cut_edges = store.purge_symbols(f, defines, {"calls": (edges, ["caller_id", "callee_id"])}, _gone_files(s, d))
+    return store.purge_counts({"functions": (f, kept), "defines": (defines, left), "calls": (edges, cut_edges["calls"])})
+
+
 @query
 def write_counts(s, d):
     return store.write_counts(V.symbols(s, d, "ended"), V.symbols(s, d, "current"), ["id"])
@@ -352,8 +424,8 @@ def listed_changes(s, d):
 def raw_diff_classes(s, d):
     """Changes written as raw diff records and read back."""
     one = lambda c, letter: F.transform(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda p: p != ""), lambda p: F.concat(F.lit(f":100644 100644 0000000 1111111 {letter}\x00"), p))
-    pairs = F.transform(F.coalesce("renamed_exact", F.array().cast("array<struct<original:string,new:string>>")), lambda p: F.concat(F.lit(":100644 100644 0000000 1111111 R100\x00"), p["original"], F.lit("\x00"), p["new"]))
-    raw = table(s, d, "git_changes").select(*_COMMIT, F.array_join(F.concat(one("added", "A"), one("modified", "M"), one("deleted", "D"), pairs), "\x00").alias("raw"))
+    pairs = lambda c, letter: F.transform(F.coalesce(c, F.array().cast("array<struct<original:string,new:string>>")), lambda p: F.concat(F.lit(f":100644 100644 0000000 1111111 {letter}100\x00"), p["original"], F.lit("\x00"), p["new"]))
+    raw = table(s, d, "git_changes").select(*_COMMIT, F.array_join(F.concat(one("added", "A"), one("modified", "M"), one("deleted", "D"), pairs("renamed_exact", "R"), pairs("copied_exact", "C")), "\x00").alias("raw"))
     return changes.classify(changes.parse_raw_diff(raw, "raw", _COMMIT)).groupBy("change_type").agg(F.count_distinct("commit_hash", "path").alias("n"))
 
 
@@ -526,6 +598,19 @@ def percent_decode(s, d):
     return names.select("p_partkey", P.percent_decoded(F.replace(F.col("name"), F.lit(" "), F.lit("%20"))).alias("name"))
 
 
+@query
+def path_joins(s, d):
+    """Paths below their project, joined and made relative again."""
+    full = P.joined("project_path", "path")
+    return _files(s, d).select("project_path", "path", full.alias("full"), P.relative(full, "project_path").alias("again"), P.parent(full).alias("folder"), P.has_suffix("path", P.SOURCE_SUFFIXES).alias("is_source"))
+
+
+@query
+def quoted_labels(s, d):
+    """Texts as labels of a drawing: blanks collapsed, quotes and backslashes escaped."""
+    return V.documents(s, d).filter("text is not null").select("doc_id", P.dot_label(F.concat(F.lit('"'), F.regexp_replace("text", "[^\\x20-\\x7E\\n\\t]", "?"), F.lit("\\"))).alias("label"))
+
+
 @query
 def path_ancestors(s, d):
     return _files(s, d).select("project_path", "path", F.concat_ws(":", P.ancestors("path")).alias("folders"))

@@ -143,7 +143,7 @@ ORACLE = {
     "property_counts": f"with {FNODES} select 'FUNCTION' as label, count(summary) as n from fnode union all select 'PROJECT', count(summary) from project union all select 'FILE', 0",
     "duplicate_keys": "select id, count(*) as n from function_nodes group by id having count(*) > 1",
     "listed_changes": f"with {LISTED} select * from lst",
-    "raw_diff_classes": f"with {LISTED} select change_type, count(*) as n from (select distinct commit_hash, change_type, path from lst where change_type <> 'copied_exact') x group by 1",
+    "raw_diff_classes": f"with {LISTED} select change_type, count(*) as n from (select distinct commit_hash, change_type, path from lst) x group by 1",
     "rename_fold": f"with {FOLD} select * from fold",
     "changed_headers": f"with {FOLD} select distinct project_path, commit_hash, path from fold where change_type in ('modified', 'deleted') and path like '%.h'",
     "dirty_files": f"with {FOLD} select * from dirty",
@@ -173,4 +173,24 @@ ORACLE = {
     "marker_lines": f"with {LINES} select line, count(distinct doc_id) as n_texts from ln where starts_with(line, '- ') group by 1",
     "marker_runs": f"""with {LINES}, m as (select *, case when line is not distinct from lag(line) over (partition by doc_id order by line_no) then 0 else 1 end as f from ln where starts_with(line, '- ')),
         r as (select *, sum(f) over (partition by doc_id order by line_no rows unbounded preceding) as run_no from m) select doc_id, run_no, line, count(*) as n from r group by 1, 2, 3""",
+    "call_sites_old": f"""with {SYM}, {FNODES}, {CSITES}, {SITES}, ol as (select ref_id, symbol_id, {_path('location.file_uri')} as file, location.start_line as line, location.start_column as col from rf where container_id = '' and kind in (4, 12) and location is not null),
+        om as (select o.ref_id, o.symbol_id, b.id, row_number() over (partition by o.ref_id order by b.l1, b.id) as _r from ol o join fn c on c.id = o.symbol_id join bd b on b.file = o.file and (o.line > b.l1 or (o.line = b.l1 and o.col >= b.c1)) and (o.line < b.l2 or (o.line = b.l2 and o.col <= b.c2)))
+        select o.ref_id, o.id as caller_id, a.name as caller_name, o.symbol_id as callee_id, b.name as callee_name from om o join fn a on a.id = o.id join fn b on b.id = o.symbol_id where _r = 1""",
+    "call_edge_script": f"with {SYM}, {SITES} select 'INSERT INTO calls (caller_id, callee_id) VALUES (' || chr(39) || caller_id || chr(39) || ', ' || chr(39) || callee_id || chr(39) || ');' as value from cl",
+    "span_totals": f"""{_BASE}, {FNODES}, spans as (select distinct name, file_path, name_location from fnode where body_location is not null)
+        select count(*) as n_functions, count(s.name) as n_matched from rws r left join spans s on s.name = r.name and s.file_path = r.file_path and s.name_location[1] = r.name_location[1] and s.name_location[2] = r.name_location[2] where r.kind = 'Function' and r.file_path is not null""",
+    "node_json": f"""{_BASE} select id, chr(123) || '"name":' || to_json(name) || ',"kind":' || to_json(kind) || ',"scope":' || to_json(scope) || ',"has_definition":' || has_definition || case when file_path is null then '' else ',"file_path":' || to_json(file_path) end || chr(125) as document from rws where kind = 'Function'""",
+    "file_nodes_with_includes": f"""with {SYM}, {FILES}, {INC}, ends as (select p.path as project_path, i.including as f from inc i join project p on starts_with(i.including, p.path || '/') union select p.path, i.included from inc i join project p on starts_with(i.including, p.path || '/')),
+        more as (select distinct project_path, substr(f, length(project_path) + 2) as path from ends where starts_with(f, project_path || '/'))
+        select project_path, path, name, parent_path from fls union select project_path, path, {_base('path')}, case when {_parent('path')} = '' then project_path else {_parent('path')} end from more""",
+    "top_included": f"with {INC} select included, count(distinct including) as n_including from inc group by 1 order by 2 desc, 1 limit 20",
+    "similar_headers": f"with {FOLD}, {INC}, {SEEN}, tos as (select distinct included from inc) select s.seed, coalesce(string_agg(t.included, ',' order by t.included), '') as similar from cseeds s left join tos t on {_base('t.included')} = {_base('s.seed')} where s.seed not in (select included from tos) group by s.seed",
+    "uncalled_symbols": f"{_BASE}, {SITES} select id, kind from rws where kind in ('Function', 'Struct', 'Class', 'Union', 'Enum') and id not in (select caller_id from cl) and id not in (select callee_id from cl)",
+    "leaf_functions": f"with {SYM}, {SITES} select distinct callee_name as name from st where callee_name not in (select caller_name from st)",
+    "overlay_structures": f"""with {_symbols("removed_at is not null", "o0")}, {_symbols("removed_at is null", "n0")}, o as (select id, name, nullif(scope, '') as scope from o0 where kind in ('Struct', 'Class', 'Union', 'Enum')), n as (select id, name, nullif(scope, '') as scope from n0 where kind in ('Struct', 'Class', 'Union', 'Enum'))
+        select coalesce(n.id, o.id) as id, coalesce(n.name, o.name) as name, coalesce(n.scope, o.scope) as scope from o full outer join n on o.id = n.id""",
+    "purge_counts": f"""{_GRAPH}, {GONE}, {SITES} select 'functions' as what, count(*) as n_before, count(*) filter (id not in (select id from gone)) as n_after from rws where kind = 'Function' union all select 'defines', count(*), count(*) filter (id not in (select id from gone)) from def
+        union all select 'calls', count(*), count(*) filter (caller_id not in (select id from gone) and callee_id not in (select id from gone)) from cl""",
+    "path_joins": f"with {SYM}, {FILES} select project_path, path, project_path || '/' || path as full, path as again, regexp_replace(project_path || '/' || path, '/[^/]*$', '') as folder, regexp_matches(path, '\\.(c|cpp|cc|cxx)$') as is_source from fls",
+    "quoted_labels": r"""select doc_id, replace(replace(trim(regexp_replace('"' || regexp_replace(text, '[^\x20-\x7E\n\t]', '?', 'g') || chr(92), '[ \t\n]+', ' ', 'g')), chr(92), chr(92) || chr(92)), '"', chr(92) || '"') as label from documents where text is not null""",
 }

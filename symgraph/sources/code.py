@@ -7,14 +7,18 @@ and preprocessor lines, finds top-level ``name(...) {`` and matches braces. Any
 
 from __future__ import annotations
 
-import os
 import re
+import shlex
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from symgraph.functions import paths as P
+from symgraph.functions.text import blanked
 
 Span = tuple[str, int, int, int, int, int, int]  # name, line and column of the name, first and last place of the body
+#: (path, text) -> spans and the names that are included, '<...>' with their brackets.
 Extractor = Callable[[str, str], tuple[list[Span], list[str]]]
 
 SPANS = "file string, name string, line int, column int, body array<int>, seq long"
@@ -22,22 +26,36 @@ SPANS = "file string, name string, line int, column int, body array<int>, seq lo
 NOT_NAMES = {"if", "for", "while", "switch", "return", "sizeof", "defined", "else", "do"}
 
 
-def read_tree(spark: SparkSession, root: str, pattern: str = "*.{c,h}") -> DataFrame:
+def read_files(paths: DataFrame) -> DataFrame:
+    """(path, text) of the files named (path), read where the tasks run; what is not there or cannot be read has no row."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for frame in frames:
+            out = []
+            for path in frame["path"]:
+                where, name = (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+                try:
+                    with where.open_input_stream(name) as stream:
+                        out.append((path, stream.read().decode("utf-8", "replace")))
+                except OSError:
+                    continue
+            yield pd.DataFrame(out, columns=["path", "text"])
+
+    return paths.select("path").distinct().repartition("path").mapInPandas(run, "path string, text string")
+
+
+def read_tree(spark: SparkSession, root: str, pattern: str = "*.{c,h,cpp,cc,cxx}") -> DataFrame:
     """(path, text) of the source files below root; bytes that are no UTF-8 are replaced."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
-def _blanked(text: str) -> str:
-    keep_lines = lambda m: re.sub(r"[^\n]", " ", m.group())
-    text = re.sub(r'/\*.*?(?:\*/|\Z)|//[^\n]*|"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'', keep_lines, text, flags=re.S)
-    return re.sub(r"^[ \t]*#(?:[^\n]*\\\n)*[^\n]*", keep_lines, text, flags=re.M)
-
-
 def scan_c(path: str, text: str) -> tuple[list[Span], list[str]]:
-    """Function bodies (0-based places) and the names in quoted includes."""
-    includes = re.findall(r'^[ \t]*#[ \t]*include[ \t]*"([^"\n]+)"', text, flags=re.M)
-    code, spans, at = _blanked(text), [], 0
+    """Function bodies (0-based places) and the names that are included."""
+    includes = [q or f"<{a}>" for q, a in re.findall(r'^[ \t]*#[ \t]*include[ \t]*(?:"([^"\n]+)"|<([^>\n]+)>)', text, flags=re.M)]
+    code, spans, at = blanked(text), [], 0
     starts = [0, *(m.end() for m in re.finditer("\n", code))]
 
     def place(i: int) -> tuple[int, int]:
@@ -70,10 +88,14 @@ def scan_c(path: str, text: str) -> tuple[list[Span], list[str]]:
     return spans, includes
 
 
-def extract(sources: DataFrame, extractor: Extractor = scan_c) -> tuple[DataFrame, DataFrame]:
+def extract(sources: DataFrame, extractor: Extractor = scan_c, commands: DataFrame | None = None, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(spans, includes): SPANS rows and (including, included) pairs of absolute paths, each distinct.
 
-    An included name is taken from the including file's folder, without '.' and '..'.
+    An included name is looked for in the including file's folder (if it is quoted) and then in the
+    folders that the file's compile command names (commands: as of ``read_compile_commands``;
+    a header takes those of all commands), and is the first that is there (known: (path) of all files; the
+    sources if not given). A quoted name that is nowhere is taken from the folder of the file; one in
+    angle brackets that is nowhere belongs to the system and is left out.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,12 +107,65 @@ def extract(sources: DataFrame, extractor: Extractor = scan_c) -> tuple[DataFram
                 except Exception:  # noqa: BLE001
                     continue
                 out += [(path, n, li, c, [a, b, y, z], None) for n, li, c, a, b, y, z in spans]
-                out += [(path, None, None, None, None, os.path.normpath(os.path.join(os.path.dirname(path), i))) for i in includes]
+                out += [(path, None, None, None, None, i) for i in includes]
             yield pd.DataFrame(out, columns=["file", "name", "line", "column", "body", "included"]).astype({"line": "Int32", "column": "Int32"})
 
     both = sources.mapInPandas(run, "file string, name string, line int, column int, body array<int>, included string")
     spans = both.filter("included is null").select("file", "name", "line", "column", "body").distinct().withColumn("seq", F.xxhash64("file", "name", "line", "column"))
-    return spans, both.filter("included is not null").select(F.col("file").alias("including"), "included").distinct()
+    named = both.filter("included is not null").select("file", "included").distinct()
+    own = named.filter(~F.col("included").startswith("<")).select("file", "included", F.lit(0).alias("no"), normal_path(F.concat_ws("/", F.regexp_replace("file", "/[^/]*$", ""), "included")).alias("at"))
+    if commands is None:
+        return spans, own.select(F.col("file").alias("including"), F.col("at").alias("included")).distinct()
+    folders = commands.select("file", F.posexplode(include_folders(F.col("arguments"), F.col("directory"))).alias("no", "folder"))
+    every = folders.groupBy("folder").agg(F.min("no").alias("no"))
+    bare = F.regexp_replace("included", "[<>]", "")
+    files = (sources if known is None else known).select("path").distinct()
+    by_command = named.join(folders, "file").select("file", "included", (F.col("no") + 1).alias("no"), normal_path(F.concat_ws("/", "folder", bare)).alias("at"))
+    there = own.unionByName(by_command).join(files.withColumnRenamed("path", "at"), "at", "left_semi")
+    # headers: what lies below any of the folders, by the name that it has from there
+    below = files.select("path", F.explode(P.ancestors("path")).alias("folder")).join(every, "folder").select(P.relative("path", "folder").alias("_name"), (F.col("no") + 1).alias("no"), F.col("path").alias("at"))
+    headers = named.join(commands.select("file").distinct(), "file", "left_anti").withColumn("_name", F.substring(normal_path(bare), 2, 1 << 30))
+    there = there.unionByName(headers.join(below, "_name").select("file", "included", "no", "at"))
+    first = there.groupBy("file", "included").agg(F.min(F.struct("no", "at")).alias("m")).select("file", "included", "m.at")
+    nowhere = own.join(first, ["file", "included"], "left_anti").select("file", "included", "at")
+    return spans, first.unionByName(nowhere).select(F.col("file").alias("including"), F.col("at").alias("included")).distinct()
+
+
+def by_file(spans: DataFrame, includes: DataFrame) -> DataFrame:
+    """(document): a JSON text per file with its functions and includes, each in order."""
+    functions = spans.groupBy(F.col("file").alias("path")).agg(F.array_sort(F.collect_list(F.struct("line", "column", "name", "body"))).alias("functions"))
+    headers = includes.groupBy(F.col("including").alias("path")).agg(F.array_sort(F.collect_set("included")).alias("includes"))
+    return functions.join(headers, "path", "full_outer").select(F.to_json(F.struct("path", "functions", "includes")).alias("document"))
+
+
+def normal_path(path: Column) -> Column:
+    """An absolute path without '.', '..' and empty parts."""
+    parts = F.filter(F.split(path, "/"), lambda x: (x != "") & (x != "."))
+    step = lambda kept, x: F.when(x == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(x)))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
+# Compiler flags that name a folder in which includes are looked for.
+INCLUDE_FLAGS = ("-I", "-isystem", "-iquote")
+
+
+def include_folders(arguments: Column, directory: Column) -> Column:
+    """The folders of include flags, in order, absolute; the flag and its folder are one argument or two."""
+    after = F.transform(arguments, lambda a, i: F.when(F.get(arguments, i - 1).isin(*INCLUDE_FLAGS), a).when(~a.isin(*INCLUDE_FLAGS) & a.rlike(f"^({'|'.join(INCLUDE_FLAGS)})."), F.regexp_replace(a, f"^({'|'.join(INCLUDE_FLAGS)})", "")))
+    return F.transform(F.array_compact(after), lambda x: F.when(x.startswith("/"), x).otherwise(F.concat_ws("/", directory, x)))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def shell_words(commands: pd.Series) -> pd.Series:
+    """The words of a command as a shell takes them apart; unbalanced quotes: split at blanks."""
+
+    def words(x: str | None) -> list[str] | None:
+        try:
+            return None if x is None else shlex.split(x)
+        except ValueError:
+            return x.split()
+
+    return commands.map(words)
 
 
 # What stands in C++ only. Words of the language, scopes, references, casts and access labels.
@@ -99,7 +174,7 @@ CPP_ONLY = r"\b(?:namespace|template|class|typename|virtual|operator|using|frien
 
 def has_cpp(text: str | None) -> bool:
     """Whether a text without comments, strings and preprocessor lines holds what C does not have."""
-    return bool(text) and re.search(CPP_ONLY, _blanked(text)) is not None
+    return bool(text) and re.search(CPP_ONLY, blanked(text)) is not None
 
 
 def header_languages(sources: DataFrame) -> DataFrame:
@@ -137,7 +212,7 @@ def read_compile_commands(spark: SparkSession, path: str) -> DataFrame:
     """(file, directory, arguments) of a compilation database, the first command of a file; relative files are below their directory."""
     schema = "file string, directory string, arguments array<string>, command string"
     raw = spark.read.schema(schema).json(path, multiLine=True).withColumn("_seq", F.monotonically_increasing_id())
-    words = F.coalesce("arguments", F.split(F.trim("command"), r"\s+"))
+    words = F.coalesce("arguments", shell_words("command"))
     file = F.when(F.col("file").startswith("/"), F.col("file")).otherwise(F.concat_ws("/", "directory", "file"))
     rows = raw.filter("file is not null").select(file.alias("file"), "directory", words.alias("arguments"), "_seq")
     first = rows.groupBy("file").agg(F.min(F.struct("_seq", "directory", "arguments")).alias("m"))

@@ -50,6 +50,24 @@ def test_update_equals_rebuild(spark, kinds):
         assert rows(updated.tables[name], *[F.col(c).cast("string") for c in df.columns]) == rows(df, *[F.col(c).cast("string") for c in df.columns]), name
 
 
+def test_update_tells_the_format_by_the_whole_index(spark):
+    """Containers are there, but none near the changes: plain references beside them must not become calls."""
+    sym = [mini.symbol("F", "f", definition=mini.at("/p/a.c", 0)), mini.symbol("Q", "q", definition=mini.at("/p/b.c", 0)), mini.symbol("G", "g", definition=mini.at("/p/c.c", 0)), mini.symbol("H", "h", definition=mini.at("/p/d.c", 0))]
+    refs = spark.createDataFrame([(1, "H", "G", 20, mini.at("/p/c.c", 2)), (2, "Q", None, 4, mini.at("/p/a.c", 2)), (3, "F", None, 1, mini.at("/p/a.c", 0))], mini.REF)
+    spans = spark.createDataFrame([(f"/p/{x}.c", n, 0, 0, [0, 0, 9, 1], i) for i, (x, n) in enumerate(zip("abcd", "fqgh"))], mini.SPAN)
+    x = mini.Inputs(spark.createDataFrame(sym, mini.SYMBOL), refs, spans, spark.createDataFrame([], "including string, included string"))
+    graph = CodeGraph.build(spark, "/p", x, commit="1")
+    assert rows(graph.tables["calls"], "caller_id", "callee_id") == [("G", "H")]
+    again = graph.update(x, spark.createDataFrame([("modified", "a.c")], "change_type string, path string"), "2")
+    assert rows(again.tables["calls"], "caller_id", "callee_id") == [("G", "H")]
+
+
+@pytest.mark.parametrize("kinds", KINDS)
+def test_stats_in_any_format(spark, built, kinds):
+    got = built.call_stats(mini.version_a(spark, **kinds).refs).head()
+    assert (got.n_functions, got.n_with_body, got.n_calls, got.n_recursive) == (6, 6, 7, 1)
+
+
 def test_update_without_changes_only_stamps(spark, built):
     none = spark.createDataFrame([], "change_type string, path string")
     assert built.update(mini.version_a(spark), none, "9").tables["project"].head().commit_hash == "9"
@@ -81,6 +99,60 @@ def test_enrichment_rolls_up(spark, built):
     assert again.tables["function"].filter("summary is not null and summary_embedding is null").count() == 0
 
 
+def test_failures_are_kept_and_retries_help(spark, built):
+    sources = spark.createDataFrame([("a/x.c", "x\n" * 20), ("r.c", "r\n" * 20)], "path string, text string")
+
+    def no_files(prompts):
+        if any(p.startswith("The file") for p in prompts):
+            raise OSError("away")
+        return ["said"] * len(prompts)
+
+    done = built.enrich(sources, no_files)
+    assert {(r.label, r.error) for r in done.failures.collect()} == {("file", "OSError: away")} and done.tables["file"].filter("summary is not null").count() == 0
+    asked = []
+
+    def third_time(batch):
+        asked.append(1)
+        if len(asked) < 3:
+            raise OSError
+        return batch
+
+    assert enrich.patient(third_time, 3, 0)(["x"]) == ["x"] and len(asked) == 3
+    with pytest.raises(ZeroDivisionError):
+        enrich.patient(lambda b: 1 / 0, 2, 0)(["x"])
+
+
+def test_http_plugin():
+    import http.server
+    import json
+    import threading
+
+    class Echo(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            said = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            self.send_response(200), self.end_headers()
+            self.wfile.write(json.dumps({"out": [{"text": said["in"].upper()}]}).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Echo)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    ask = enrich.http_plugin(f"http://127.0.0.1:{server.server_port}/", lambda x: {"in": x}, lambda r: r["out"][0]["text"], timeout=5)
+    assert ask(["a", "b"]) == ["A", "B"]
+    server.shutdown()
+
+
+def test_shortcuts_change_nothing(spark, monkeypatch):
+    edges = spark.createDataFrame([(f"{c}{i}", f"{c}{i + 1}") for c in "abc" for i in range(20)] + [("a0", "a19"), ("b19", "b3")], "x string, y string")
+    seeds = spark.createDataFrame([(f"{c}{i}",) for c in "abc" for i in (5, 20, 30)], "s string")
+    got = []
+    for shortcuts, many in ((32, 0), (2, 0), (32, 10)):
+        monkeypatch.setattr(traverse, "SHORTCUTS", shortcuts), monkeypatch.setattr(traverse, "MANY_SEEDS", many)
+        got.append(rows(traverse.reach(edges, seeds, "x", "y"), "seed", "node"))
+    assert got[0] == got[1] == got[2] and len(got[0]) > 70
+
+
 def test_context_is_what_the_neighbours_do(spark):
     f = spark.createDataFrame([("a", "does a"), ("b", None), ("c", ""), ("d", "does d"), ("e", "does d")], "id string, code_summary string")
     c = spark.createDataFrame([("a", "d"), ("b", "d"), ("c", "d"), ("d", "d"), ("a", "e"), ("a", "zz")], "caller_id string, callee_id string")
@@ -97,7 +169,8 @@ def test_failed_summaries_keep_the_old_value(spark):
         raise RuntimeError
 
     prompts = spark.createDataFrame([("a", "x")], "id string, prompt string")
-    assert enrich.summarize(prompts, ["id"], flaky).count() == 0
+    assert [tuple(r) for r in enrich.summarize(prompts, ["id"], flaky).collect()] == [("a", None, "RuntimeError: ")]
+    assert [r.error for r in enrich.summarize(prompts, ["id"], lambda x: [""]).collect()] == ["empty answer"]
     new = spark.createDataFrame([("a", "new"), ("b", "same")], "id string, new_summary string")
     got = {r.id: (r.summary, r.summary_embedding) for r in enrich.apply_summaries(nodes_, new, ["id"]).collect()}
     assert got == {"a": ("new", None), "b": ("same", [1.0])}

@@ -139,3 +139,41 @@ def test_markers(spark):
 def test_script(spark):
     out = store.run_script(spark, "// a comment\nselect 1 as x;\n\nselect nothing from nowhere;\n-- more\nselect 2 as x")
     assert [(df.head().x if df else None, e is None) for _, df, e in out] == [(1, True), (None, False), (2, True)]
+
+
+def test_includes_by_compile_commands(spark):
+    sources = spark.createDataFrame([
+        ("/p/src/a.c", '#include "own.h"\n#include <lib/x.h>\n#include <stdio.h>\n#include "gone.h"\n#include "../up.h"\n'),
+        ("/p/src/own.h", "#include <lib/x.h>\n"), ("/p/up.h", ""), ("/p/inc/lib/x.h", ""), ("/p/inc2/lib/x.h", ""), ("/p/other/b.c", "#include <lib/x.h>\n"),
+    ], "path string, text string")
+    commands = spark.createDataFrame([("/p/src/a.c", "/p", ["-Iinc", "-DX", "-isystem", "/p/inc2"]), ("/p/other/b.c", "/p/other", ["-DX", "-I", "../inc2"])], "file string, directory string, arguments array<string>")
+    _, includes = code.extract(sources, commands=commands)
+    assert sorted(map(tuple, includes.collect())) == [
+        ("/p/other/b.c", "/p/inc2/lib/x.h"), ("/p/src/a.c", "/p/inc/lib/x.h"), ("/p/src/a.c", "/p/src/gone.h"), ("/p/src/a.c", "/p/src/own.h"), ("/p/src/a.c", "/p/up.h"), ("/p/src/own.h", "/p/inc/lib/x.h"),
+    ]
+
+
+def test_commands_are_split_as_a_shell_does(spark, tmp_path):
+    db = [{"file": "a.c", "directory": "/p", "command": "cc -c -DNAME='\"a b\"' -I 'my inc' -o a.o a.c"}, {"file": "/p/b.c", "directory": "/p", "command": "cc 'broken b.c"}]
+    (tmp_path / "db.json").write_text(json.dumps(db))
+    got = {r.file: r.arguments for r in code.read_compile_commands(spark, f"file://{tmp_path}/db.json").collect()}
+    assert got["/p/a.c"] == ['-DNAME="a b"', "-I", "my inc"]
+
+
+def test_diff_records_are_read_in_parts():
+    import io
+
+    raw = b":1 2 a b A\0x\ny\0:1 2 a b R100\0old\0new\0:1 2 a b M\0z\0"
+    want = [("A", "x\ny", None), ("R100", "new", "old"), ("M", "z", None)]
+    assert all(list(git._records(io.BytesIO(raw), size)) == want for size in (1, 3, 1000))
+
+
+def test_files_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.c").write_bytes(b"x\xff")
+    names = spark.createDataFrame([(f"{tmp_path}/a.c",), (f"{tmp_path}/none.c",), (f"{tmp_path}/a.c",)], "path string")
+    assert [tuple(r) for r in code.read_files(names).collect()] == [(f"{tmp_path}/a.c", "x�")]
+
+
+def test_edges_as_a_script(spark):
+    script = store.edge_script(spark.createDataFrame([("a'b", None)], "caller_id string, callee_id string"), "calls")
+    assert script.head()[0] == "INSERT INTO calls (caller_id, callee_id) VALUES ('a''b', NULL);"
