@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from symgraph.api import CodeGraph, Inputs
 from symgraph.functions import paths as P
 from symgraph.operators import calls, render, store, traverse
-from symgraph.session import cut
+from symgraph.session import cut, ship
 from symgraph.sources import code, git, markers
 
 
@@ -107,7 +107,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("symgraph").getOrCreate()
+    if spark is None:
+        spark = SparkSession.builder.appName("symgraph").getOrCreate()
+        ship(spark)
     if not a.memory:
         return _run(a, spark)
     import tracemalloc

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from symgraph.functions import paths as P
 from symgraph.operators import calls, changes, enrich, nodes, store, traverse
-from symgraph.session import cut
+from symgraph.session import cut, cut_all
 
 #: Node tables with their keys, and edge tables with their ends.
 NODE_KEYS = {"project": "path", "folder": "path", "file": "path", "function": "id", "data_structure": "id"}
@@ -40,9 +40,8 @@ class CodeGraph:
     def build(cls, spark: SparkSession, root: str, inputs: Inputs, name: str | None = None, commit: str | None = None, keep_orphans: bool = False) -> CodeGraph:
         graph = cls(spark, root.rstrip("/"))
         project = spark.createDataFrame([(graph.root, name or graph.root.rsplit("/", 1)[-1] or "Project", commit, None, None)], store.schema_of("project"))
-        graph.tables = {"project": project, **graph._structure(inputs)}
-        graph.tables["function"] = cut(graph.tables["function"], "functions")
-        graph.tables["calls"] = calls.call_edges(graph.call_sites(inputs.refs))
+        graph.tables = {"project": project, **cut_all(graph._structure(inputs), "structure")}
+        graph.tables["calls"] = cut(calls.call_edges(graph.call_sites(inputs.refs)), "calls")
         if not keep_orphans:
             graph._drop_orphans()
         return graph.materialized()
@@ -94,7 +93,7 @@ class CodeGraph:
 
     def materialized(self) -> CodeGraph:
         """Every table written to the shared folder, so later steps start from files."""
-        self.tables = {k: cut(df, f"graph-{k}") for k, df in self.tables.items()}
+        self.tables = cut_all(self.tables, "graph")
         return self
 
     # Storage
@@ -142,9 +141,9 @@ class CodeGraph:
         seeds = changes.dirty_symbols(inputs.symbols, dirty.select(P.joined(root, "path").alias("path"))).select("id")
         subset = cut(traverse.subset_one_hop(seeds, inputs.refs), "subset")
         near = Inputs(inputs.symbols.join(subset, "id", "left_semi"), inputs.refs, inputs.spans.join(dirty.select(P.joined(root, "path").alias("file")), "file", "left_semi"), inputs.includes.join(dirty.select(P.joined(root, "path").alias("including")), "including", "left_semi"))
-        new = self._structure(near)
+        new = cut_all(self._structure(near), "near")
 
-        gone = t["defines"].join(scope.withColumnRenamed("path", "file_path"), "file_path", "left_semi").select("id").distinct()
+        gone = cut(t["defines"].join(scope.withColumnRenamed("path", "file_path"), "file_path", "left_semi").select("id").distinct(), "gone")
         keep = lambda name: store.without_keys(t[name], gone, "id", "id")
         functions = cut(store.overlay(keep("function"), new["function"], ["id"]), "functions")
         out = {
@@ -166,7 +165,7 @@ class CodeGraph:
         flags = calls.feature_flags(inputs.refs).head()  # of the whole index: what lies near the changes may lack what tells its format
         graph = CodeGraph(self.spark, self.root, out)
         fresh = calls.call_edges(graph.call_sites(near_refs, flags))
-        out["calls"] = nodes.pair_edges(old_calls.unionByName(fresh), functions, "caller_id", "callee_id", "id")
+        out["calls"] = cut(nodes.pair_edges(old_calls.unionByName(fresh), functions, "caller_id", "callee_id", "id"), "calls")
         graph._drop_orphans()
         return graph.materialized()
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import hashlib
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from symgraph.functions.text import symbol_key
-from symgraph.operators import increments, orphans, shred, snapshots
+from symgraph.operators import increments, kept, orphans, shred, snapshots
 from symgraph.schema import INDEX_SCHEMA, place_columns
 from symgraph.session import shared_dir, table
 from symgraph.sources.manifest import Manifest
@@ -69,6 +69,18 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.snapshot_changes(table(spark, d, "symbol_snapshots"), "project_path", "snapshot_no", "id", "doc_seq", SNAPSHOT_COLUMNS)
 
 
+def p2_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    """The changes of p2_found from snapshots that arrive one after the other: of each project its first, then its second and so on, merged with what is kept."""
+    t = table(spark, d, "symbol_snapshots")
+    place = F.dense_rank().over(W.partitionBy("project_path").orderBy("snapshot_no"))
+    numbers = t.filter("project_path is not null and snapshot_no is not null").select("project_path", "snapshot_no").distinct().withColumn("place", place)
+    last = numbers.agg(F.max("place")).head()[0] or 0
+    state = kept.KeptSnapshots(spark, shared_dir(spark, "snapshots"), "project_path", "snapshot_no", "id", "doc_seq", SNAPSHOT_COLUMNS)
+    found = [state.take(t.join(F.broadcast(numbers.filter(F.col("place") == i).drop("place")), ["project_path", "snapshot_no"], "left_semi")) for i in range(1, last + 1)]  # a pair per project
+    none = spark.createDataFrame([], "project_path string, snapshot_no long, id string, change_kind string")
+    return reduce(DataFrame.unionByName, found, none).withColumn("snapshot_no", F.col("snapshot_no").cast("int"))
+
+
 def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.change_report(p2_found(spark, d), "project_path", "snapshot_no")
 
@@ -158,7 +170,7 @@ def p4_symbols(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_cascade, p2_found, p2_report, p3_found, p3_unclaimed, p3_increments, p4_found, p4_references, p4_headers, p4_symbols)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p1_cascade, p2_found, p2_report, p2_deliveries, p3_found, p3_unclaimed, p3_increments, p4_found, p4_references, p4_headers, p4_symbols)}
 
 _KEY = "upper(trim({}, ' \t'))"
 _LIVE = f"lives as materialized (select {_KEY.format('id')} as k, loaded_at as f, removed_at as u from symbols union all select {_KEY.format('id')}, loaded_at, null from system_symbols)"
@@ -238,6 +250,7 @@ ORACLE = {
     "p1_cascade": f"""with {_all_orphans('(select path from project where path > (select min(path) from project))')}
         select src_table, ref_field, strftime(t, '%Y-%m') as month_key, orphan_kind, depth, count(*) as n_refs, count(distinct k) as n_keys from every group by 1, 2, 3, 4, 5""",
     "p2_found": f"with {_CHANGES} select * from changes",
+    "p2_deliveries": f"with {_CHANGES} select * from changes",
     "p2_report": f"with {_CHANGES} select project_path, snapshot_no, change_kind, count(*) as n_keys from changes group by 1, 2, 3",
     "p3_found": f"""with {_CLAIMS}, paths as (select project_path, commit_hash, unnest(added) as path from git_changes union select project_path, commit_hash, unnest(modified) from git_changes)
         select distinct c.run_id, p.path from claims c join paths p on p.project_path = c.project_path and p.commit_hash = c.commit_hash where p.path is not null and p.path <> ''""",

@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +24,17 @@ def local_session(cpus: int = 8, app: str = "symgraph", **conf: str) -> SparkSes
     } | conf
     spark = SparkSession.builder.master(f"local[{cpus}]").appName(app).config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors of a session that was not started with it (``--py-files`` or an installed package do the same)."""
+    package, folder = os.path.dirname(os.path.abspath(__file__)), tempfile.mkdtemp(prefix="symgraph-")  # the driver serves it to executors from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/symgraph", "zip", os.path.dirname(package), os.path.basename(package)))
+
+
 def shared_dir(spark: SparkSession, purpose: str, name: str | None = None) -> str:
     """A folder that every executor can reach: a new one, or with a name the same one whenever it is asked for.
 
@@ -54,5 +63,11 @@ def cut(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_all(tables: dict[str, DataFrame], purpose: str, at_once: int = 4) -> dict[str, DataFrame]:
+    """``cut`` for several tables; their jobs run at the same time, so small ones do not wait for each other."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(tables, pool.map(lambda name: cut(tables[name], f"{purpose}-{name}"), tables)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
