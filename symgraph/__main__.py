@@ -20,15 +20,31 @@ def _index(spark: SparkSession, index: str, cache: str | None) -> tuple[DataFram
     return symbols_and_refs(docs.filter("body is not null").select("doc_seq", "body"))
 
 
-def _extracted(spark: SparkSession, root: str, commands: str | None, sources: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(spans, includes) of the given sources, or of the whole tree; includes are looked for in the whole tree."""
+def _extracted(spark: SparkSession, root: str, commands: str | None, sources: DataFrame | None = None, cache: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(spans, includes) of the given sources, or of the whole tree; includes are looked for in the whole tree.
+
+    What the whole tree of a commit holds is kept below cache, if there is one and the tree is clean.
+    """
+    commit = _commit(root) if cache and sources is None else None
+    at = f"{cache}-sources/{commit}" if commit else None
+    if at and _exists(spark, f"{at}/includes/_SUCCESS"):
+        return spark.read.schema(code.SPANS).parquet(f"{at}/spans"), spark.read.schema("including string, included string").parquet(f"{at}/includes")
     known = code.read_tree(spark, root)
     parsed = code.read_compile_commands(spark, commands) if commands else None
-    return code.extract(known if sources is None else sources, commands=parsed, known=known.select("path"))
+    spans, includes = code.extract(known if sources is None else sources, commands=parsed, known=known.select("path"))
+    if not at:
+        return spans, includes
+    spans.write.mode("overwrite").parquet(f"{at}/spans"), includes.write.mode("overwrite").parquet(f"{at}/includes")
+    return _extracted(spark, root, commands, None, cache)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def _inputs(spark: SparkSession, a: argparse.Namespace, sources: DataFrame | None = None) -> Inputs:
-    return Inputs(*_index(spark, a.index, a.cache), *_extracted(spark, a.root, a.compile_commands, sources))
+    return Inputs(*_index(spark, a.index, a.cache), *_extracted(spark, a.root, a.compile_commands, sources, a.cache))
 
 
 def _functions(spark: SparkSession, a: argparse.Namespace) -> tuple[CodeGraph, Inputs]:

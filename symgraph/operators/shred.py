@@ -187,7 +187,7 @@ def assemble(shredded: DataFrame, schema: dict, ancestor: str, keep: list[str],
             data = {}
             for i, p in enumerate(used):
                 c = batch.column(len(keep) + i)
-                r, d, v = (c.field(j) for j in range(3))
+                r, d, v = c.flatten()  # with the batch's offset, which field() does not know
                 counts = np.diff(r.offsets.to_numpy())
                 owner = np.repeat(np.arange(n), counts)
                 data[p] = (owner, r.flatten().to_numpy(zero_copy_only=False), d.flatten().to_numpy(zero_copy_only=False), v.flatten())

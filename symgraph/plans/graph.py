@@ -177,8 +177,11 @@ def interval_first_match(s, d):
 
 @query
 def span_enrichment(s, d):
-    f = _functions(s, d).filter("file_path is not null").select("id", "name", F.col("file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"))
-    spans = V.function_nodes(s, d, "name", "file_path", "name_location", "body_location").filter("body_location is not null").select("name", F.col("file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"), F.col("id").alias("seq"), F.col("body_location").alias("body"))
+    """Bodies of functions by name and place of the name, files told apart by project."""
+    f = _functions(s, d).filter("file_path is not null").select("id", "name", P.joined("project_path", "file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"))
+    found = V.function_nodes(s, d, "name", "file_path", "name_location", "body_location").filter("body_location is not null").withColumn("id", symbol_key("id"))
+    project = V.symbols(s, d, columns=("project_path",)).select("id", "project_path")
+    spans = found.join(project, "id").select("name", P.joined("project_path", "file_path").alias("file"), F.get("name_location", 0).alias("line"), F.get("name_location", 1).alias("column"), F.col("id").alias("seq"), F.col("body_location").alias("body"))
     return calls.with_bodies(f, spans).select("id", F.get("body_location", 0).alias("first_line"), F.get("body_location", 2).alias("last_line"))
 
 

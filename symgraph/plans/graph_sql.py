@@ -118,8 +118,8 @@ ORACLE = {
     "valid_refs": f"with {SYM}, {REFS} select kind, count(*) as n from rf where location is not null and kind is not null and symbol_id in (select id from sym) group by kind",
     "interval_all_matches": f"with {SYM}, {FNODES}, {CSITES} select site_id, id from mt",
     "interval_first_match": f"with {SYM}, {FNODES}, {CSITES} select site_id, id from (select *, row_number() over (partition by site_id order by l1, id) as _r from mt) x where _r = 1",
-    "span_enrichment": f"""{_BASE}, {FNODES}, spans as (select * from (select name, file_path, name_location, body_location, row_number() over (partition by name, file_path, name_location order by id desc) as _r from fnode where body_location is not null) x where _r = 1)
-        select r.id, s.body_location[1] as first_line, s.body_location[3] as last_line from rws r left join spans s on s.name = r.name and s.file_path = r.file_path and s.name_location[1] = r.name_location[1] and s.name_location[2] = r.name_location[2] where r.kind = 'Function' and r.file_path is not null""",
+    "span_enrichment": f"""{_BASE}, {FNODES}, spans as (select * from (select f.name, y.project_path, f.file_path, f.name_location, f.body_location, row_number() over (partition by f.name, y.project_path, f.file_path, f.name_location order by f.id desc) as _r from fnode f join sym y on y.id = {_KEY.format('f.id')} where f.body_location is not null) x where _r = 1)
+        select r.id, s.body_location[1] as first_line, s.body_location[3] as last_line from rws r left join spans s on s.name = r.name and s.project_path = r.project_path and s.file_path = r.file_path and s.name_location[1] = r.name_location[1] and s.name_location[2] = r.name_location[2] where r.kind = 'Function' and r.file_path is not null""",
     "includes_edges": f"with {SYM}, {FILES}, {INC}, nd as (select project_path || '/' || path as path from fls) select distinct including, included from inc where including in (select path from nd) and included in (select path from nd)",
     "include_groups": f"with {INC} select including, count(distinct included) as n, string_agg(distinct included, ',' order by included) as included from inc group by including",
     "reverse_includes": f"with {INC} select included, count(distinct including) as n_including from inc group by 1",
@@ -177,8 +177,8 @@ ORACLE = {
         om as (select o.ref_id, o.symbol_id, b.id, row_number() over (partition by o.ref_id order by b.l1, b.id) as _r from ol o join fn c on c.id = o.symbol_id join bd b on b.file = o.file and (o.line > b.l1 or (o.line = b.l1 and o.col >= b.c1)) and (o.line < b.l2 or (o.line = b.l2 and o.col <= b.c2)))
         select o.ref_id, o.id as caller_id, a.name as caller_name, o.symbol_id as callee_id, b.name as callee_name from om o join fn a on a.id = o.id join fn b on b.id = o.symbol_id where _r = 1""",
     "call_edge_script": f"with {SYM}, {SITES} select 'INSERT INTO calls (caller_id, callee_id) VALUES (' || chr(39) || caller_id || chr(39) || ', ' || chr(39) || callee_id || chr(39) || ');' as value from cl",
-    "span_totals": f"""{_BASE}, {FNODES}, spans as (select distinct name, file_path, name_location from fnode where body_location is not null)
-        select count(*) as n_functions, count(s.name) as n_matched from rws r left join spans s on s.name = r.name and s.file_path = r.file_path and s.name_location[1] = r.name_location[1] and s.name_location[2] = r.name_location[2] where r.kind = 'Function' and r.file_path is not null""",
+    "span_totals": f"""{_BASE}, {FNODES}, spans as (select distinct f.name, y.project_path, f.file_path, f.name_location from fnode f join sym y on y.id = {_KEY.format('f.id')} where f.body_location is not null)
+        select count(*) as n_functions, count(s.name) as n_matched from rws r left join spans s on s.name = r.name and s.project_path = r.project_path and s.file_path = r.file_path and s.name_location[1] = r.name_location[1] and s.name_location[2] = r.name_location[2] where r.kind = 'Function' and r.file_path is not null""",
     "node_json": f"""{_BASE} select id, chr(123) || '"name":' || to_json(name) || ',"kind":' || to_json(kind) || ',"scope":' || to_json(scope) || ',"has_definition":' || has_definition || case when file_path is null then '' else ',"file_path":' || to_json(file_path) end || chr(125) as document from rws where kind = 'Function'""",
     "file_nodes_with_includes": f"""with {SYM}, {FILES}, {INC}, ends as (select p.path as project_path, i.including as f from inc i join project p on starts_with(i.including, p.path || '/') union select p.path, i.included from inc i join project p on starts_with(i.including, p.path || '/')),
         more as (select distinct project_path, substr(f, length(project_path) + 2) as path from ends where starts_with(f, project_path || '/'))
