@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from symgraph.api import CodeGraph, Inputs
 from symgraph.functions import paths as P
-from symgraph.operators import calls, render, store, traverse
+from symgraph.operators import calls, enrich, render, store, traverse
 from symgraph.session import cut, ship
 from symgraph.sources import code, git, markers
 
@@ -20,22 +22,30 @@ def _index(spark: SparkSession, index: str, cache: str | None) -> tuple[DataFram
     return symbols_and_refs(docs.filter("body is not null").select("doc_seq", "body"))
 
 
-def _extracted(spark: SparkSession, root: str, commands: str | None, sources: DataFrame | None = None, cache: str | None = None) -> tuple[DataFrame, DataFrame]:
+def _plugin(name: str | None, default: Callable) -> Callable:
+    """The function that MODULE:FUNCTION names."""
+    if not name:
+        return default
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def _extracted(spark: SparkSession, root: str, commands: str | None, sources: DataFrame | None = None, cache: str | None = None, extractor: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(spans, includes) of the given sources, or of the whole tree; includes are looked for in the whole tree.
 
     What the whole tree of a commit holds is kept below cache, if there is one and the tree is clean.
     """
     commit = _commit(root) if cache and sources is None else None
-    at = f"{cache}-sources/{commit}" if commit else None
+    at = f"{cache}-sources/{extractor or 'scan'}/{commit}" if commit else None
     if at and _exists(spark, f"{at}/includes/_SUCCESS"):
         return spark.read.schema(code.SPANS).parquet(f"{at}/spans"), spark.read.schema("including string, included string").parquet(f"{at}/includes")
     known = code.read_tree(spark, root)
     parsed = code.read_compile_commands(spark, commands) if commands else None
-    spans, includes = code.extract(known if sources is None else sources, commands=parsed, known=known.select("path"))
+    spans, includes = code.extract(known if sources is None else sources, _plugin(extractor, code.scan_c), parsed, known.select("path"))
     if not at:
         return spans, includes
     spans.write.mode("overwrite").parquet(f"{at}/spans"), includes.write.mode("overwrite").parquet(f"{at}/includes")
-    return _extracted(spark, root, commands, None, cache)
+    return _extracted(spark, root, commands, None, cache, extractor)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -44,7 +54,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _inputs(spark: SparkSession, a: argparse.Namespace, sources: DataFrame | None = None) -> Inputs:
-    return Inputs(*_index(spark, a.index, a.cache), *_extracted(spark, a.root, a.compile_commands, sources, a.cache))
+    return Inputs(*_index(spark, a.index, a.cache), *_extracted(spark, a.root, a.compile_commands, sources, a.cache, a.extractor))
 
 
 def _functions(spark: SparkSession, a: argparse.Namespace) -> tuple[CodeGraph, Inputs]:
@@ -77,18 +87,24 @@ def parser() -> argparse.ArgumentParser:
     def scanned(c: argparse.ArgumentParser) -> argparse.ArgumentParser:
         c.add_argument("--cache", help="folder of the parsed index")
         c.add_argument("--compile-commands", help="compilation database, for the folders in which includes are looked for")
+        c.add_argument("--extractor", help="MODULE:FUNCTION that takes (path, text) and gives bodies and includes, in place of the built-in scanner")
+        return c
+
+    def enriched(c: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        c.add_argument("--summarizer", help="MODULE:FUNCTION from a list of prompts to a list of texts, in place of the built-in stand-in")
+        c.add_argument("--embedder", help="MODULE:FUNCTION from a list of texts to a list of vectors")
         return c
 
-    c = scanned(add("build", "build the graph of a project from its index and sources", "index", "root", "graph"))
-    c.add_argument("--enrich", action="store_true", help="summaries and embeddings with the built-in stand-ins")
+    c = enriched(scanned(add("build", "build the graph of a project from its index and sources", "index", "root", "graph")))
+    c.add_argument("--enrich", action="store_true", help="summaries and embeddings too")
     c.add_argument("--keep-orphans", action="store_true")
     c.add_argument("--name")
-    c = scanned(add("update", "bring a graph up to a commit", "index", "root", "graph"))
+    c = enriched(scanned(add("update", "bring a graph up to a commit", "index", "root", "graph")))
     c.add_argument("--enrich", action="store_true", help="new summaries for what the changes touch")
     c.add_argument("--old", help="commit of the graph, if it holds none")
     c.add_argument("--new", default="HEAD")
     c.add_argument("--to", help="folder of the updated graph; it must differ from the old one", required=True)
-    add("enrich", "summaries and embeddings of a graph", "graph", "root", "to")
+    enriched(add("enrich", "summaries and embeddings of a graph", "graph", "root", "to"))
     c = add("schema", "print labels, properties and edge types", "graph")
     c.add_argument("--json", action="store_true")
     c = add("impact", "sources that depend on headers, of a graph or (with --root) of a source tree", "graph")
@@ -142,11 +158,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
 def _run(a: argparse.Namespace, spark: SparkSession) -> None:
     if a.command == "build":
         graph = CodeGraph.build(spark, a.root, _inputs(spark, a), a.name, _commit(a.root), a.keep_orphans)
-        (graph.enrich(_sources(spark, a.root)) if a.enrich else graph).save(a.graph)
+        (graph.enrich(_sources(spark, a.root), **_enrichers(a)) if a.enrich else graph).save(a.graph)
     elif a.command == "update":
         _update(a, spark)
     elif a.command == "enrich":
-        CodeGraph.load(spark, a.graph).enrich(_sources(spark, a.root)).save(a.to)
+        CodeGraph.load(spark, a.graph).enrich(_sources(spark, a.root), **_enrichers(a)).save(a.to)
     elif a.command == "schema":
         graph = CodeGraph.load(spark, a.graph)
         print(graph.schema_json() if a.json else graph.schema())
@@ -196,6 +212,10 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> None:
         _show(render.outline(spark.read.text(a.file, wholetext=True).select("value")), a.out)
 
 
+def _enrichers(a: argparse.Namespace) -> dict[str, Callable]:
+    return {"summarizer": _plugin(a.summarizer, enrich.constant_summaries), "embedder": _plugin(a.embedder, enrich.hashed_embeddings)}
+
+
 def _update(a: argparse.Namespace, spark: SparkSession) -> None:
     """Reads only what the changes touch; a commit that the graph is at already changes nothing."""
     graph = CodeGraph.load(spark, a.graph)
@@ -214,7 +234,7 @@ def _update(a: argparse.Namespace, spark: SparkSession) -> None:
     graph = graph.update(_inputs(spark, a, sources), changed, new)
     if a.enrich:
         relative = sources.select(P.relative("path", F.lit(graph.root)).alias("path"), "text")
-        graph = graph.enrich(relative, only=graph.functions_in(dirty), changed=changed)
+        graph = graph.enrich(relative, **_enrichers(a), only=graph.functions_in(dirty), changed=changed)
     graph.save(a.to)
 
 

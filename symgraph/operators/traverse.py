@@ -11,16 +11,16 @@ from symgraph.session import shared_dir
 
 
 #: Shortcuts double while they are at most this many times the edges, and only if the seeds' neighbours are at least that share of the edges.
-SHORTCUTS, MANY_SEEDS = 32, 1 / 16
+SHORTCUTS, MANY_SEEDS = 8, 1 / 16
 
 
 def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
     """(seed, node): nodes from which a path of one edge or more leads to a seed; a seed on a cycle reaches itself.
 
     Semi-naive rounds: only pairs that are new meet the edges again. Where many seeds ask, edges
-    are first joined with themselves into shortcuts of up to 2, 4, 8 ... edges, so that a path of
-    length n takes about log2(n) rounds; when these no longer grow, one join with the seeds is
-    all that is left. Each round is one job that writes its pairs and counts them on the way, so
+    are first joined with themselves into shortcuts of up to 2, 4, 8 ... edges, so that a round
+    passes several edges; when these no longer grow, one join with the seeds is all that is left.
+    Each round is one job that writes its pairs and counts them on the way, so
     lineage and plans stay flat and lost executors do not restart the loop. Null ends and seeds
     take no part.
     """

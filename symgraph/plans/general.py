@@ -76,7 +76,7 @@ def p2_deliveries(spark: SparkSession, d: str) -> DataFrame:
     numbers = t.filter("project_path is not null and snapshot_no is not null").select("project_path", "snapshot_no").distinct().withColumn("place", place)
     last = numbers.agg(F.max("place")).head()[0] or 0
     state = kept.KeptSnapshots(spark, shared_dir(spark, "snapshots"), "project_path", "snapshot_no", "id", "doc_seq", SNAPSHOT_COLUMNS)
-    found = [state.take(t.join(F.broadcast(numbers.filter(F.col("place") == i).drop("place")), ["project_path", "snapshot_no"], "left_semi")) for i in range(1, last + 1)]  # a pair per project
+    found = [state.take(t.join(numbers.filter(F.col("place") == i), ["project_path", "snapshot_no"], "left_semi")) for i in range(1, last + 1)]
     none = spark.createDataFrame([], "project_path string, snapshot_no long, id string, change_kind string")
     return reduce(DataFrame.unionByName, found, none).withColumn("snapshot_no", F.col("snapshot_no").cast("int"))
 

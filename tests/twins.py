@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import duckdb
 
@@ -26,8 +27,14 @@ def rows(columns, values):
     return [columns[i] for i in order], sorted(tuple(plain(v[i]) for i in order) for v in values)
 
 
-def assert_equal(spark, con, data, query, sql):
+#: No products, no Python row at a time.
+BARRED = "CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython"
+
+
+def assert_equal(spark, con, data, query, sql, barred=BARRED):
+    """The rows of a query and of its SQL, and what must not be in its plan."""
     df = query(spark, data)
+    assert not re.search(barred, df._jdf.queryExecution().executedPlan().toString())
     got = rows(df.columns, [tuple(r.asDict(True).values()) for r in df.collect()])
     want = con.sql(sql)
     assert got == rows(want.columns, want.fetchall())
