@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from symgraph.functions import paths as P
@@ -14,9 +12,12 @@ from symgraph.session import shared_dir
 SHORTCUTS, MANY_SEEDS = 8, 1 / 16
 
 
-def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: int = 1000) -> DataFrame:
+def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: int = 1000, label: str | None = None) -> DataFrame:
     """(seed, node): nodes from which a path of one edge or more leads to a seed; a seed on a cycle reaches itself.
 
+    label: a column of seeds that stands for the seed in the result, so that what many seeds of one
+    label reach is found and kept once; the seed itself is then the other column.
+
     Semi-naive rounds: only pairs that are new meet the edges again. Where many seeds ask, edges
     are first joined with themselves into shortcuts of up to 2, 4, 8 ... edges, so that a round
     passes several edges; when these no longer grow, one join with the seeds is all that is left.
@@ -26,7 +27,8 @@ def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: in
     """
     spark, root = edges.sparkSession, shared_dir(edges.sparkSession, "reach")
     pairs = edges.select(F.col(dst).alias("to"), F.col(src).alias("node")).dropna().distinct()
-    start = seeds.select(F.col(seeds.columns[0]).alias("seed")).dropna().distinct()
+    at = next(c for c in seeds.columns if c != label)
+    start = seeds.select(F.col(label or at).alias("seed"), F.col(at).alias("at")).dropna().distinct()
 
     def write(df: DataFrame, name: str) -> tuple[DataFrame, int]:
         seen = Observation()
@@ -36,7 +38,7 @@ def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: in
     hop = lambda near, at, step: near.join(step.select(F.col("to").alias("_to"), F.col("node").alias("_node")), F.col(at) == F.col("_to"))
     onward = lambda near, at, step: hop(near, at, step).select("seed", F.col("_node").alias("node"))
     back, n_edges = write(pairs, "edges")
-    new, n_new = write(onward(start, "seed", back).distinct(), "0")
+    new, n_new = write(onward(start, "at", back).distinct(), "0")
     step, n_step, complete, level = back, n_edges, False, 0
     while n_new >= MANY_SEEDS * n_edges and 0 < n_step <= SHORTCUTS * n_edges and not complete:
         level += 1
@@ -45,15 +47,14 @@ def reach(edges: DataFrame, seeds: DataFrame, src: str, dst: str, max_rounds: in
         step, n_step = write(wider, f"step-{level}")
         complete = n_step == before
     if complete:
-        return onward(start, "seed", step).distinct()
-    rounds = [new]
+        return onward(start, "at", step).distinct()
     for no in range(1, max_rounds + 1):
+        found = spark.read.schema(new.schema).parquet(*[f"{root}/{r}" for r in range(no)])  # one scan, however many rounds
         if not n_new:
-            return reduce(DataFrame.unionByName, rounds)
-        one = onward(rounds[-1], "node", step).distinct()
+            return found
+        one = onward(new, "node", step).distinct()
         both = one.unionByName(onward(one, "node", step)).distinct() if not level else one
-        new, n_new = write(both.join(reduce(DataFrame.unionByName, rounds), ["seed", "node"], "left_anti"), str(no))
-        rounds.append(new)
+        new, n_new = write(both.join(found, ["seed", "node"], "left_anti").select("seed", "node"), str(no))
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 

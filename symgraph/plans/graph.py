@@ -491,9 +491,13 @@ def update_dirty_symbols(s, d):
 
 
 def _update_gone(s: SparkSession, d: str) -> DataFrame:
-    """(path), absolute: files that some commit purges."""
-    folded, dirty = _update_scope(s, d)
-    return changes.purge_scope(folded, _COMMIT, dirty).select(P.joined("project_path", "path").alias("path")).distinct()
+    """(path), absolute: files that some commit purges. Which commit it is does not matter: what it reaches and deletes itself goes too, so
+    reachability is asked by project, not by header and commit."""
+    folded = changes.fold(_changes(s, d), _COMMIT)
+    headers = changes.changed_headers(folded).select("project_path", P.joined("project_path", "path").alias("seed")).distinct()
+    reached = traverse.reach(V.includes(s, d), headers, "including", "included", label="project_path").filter(P.in_project("node", "seed"))
+    listed = folded.filter(F.col("change_type").isin("added", "modified", "deleted")).select(P.joined("project_path", "path").alias("path"))
+    return listed.unionByName(reached.select(F.col("node").alias("path"))).distinct()
 
 
 @query

@@ -151,6 +151,8 @@ def test_shortcuts_change_nothing(spark, monkeypatch):
         monkeypatch.setattr(traverse, "SHORTCUTS", shortcuts), monkeypatch.setattr(traverse, "MANY_SEEDS", many)
         got.append(rows(traverse.reach(edges, seeds, "x", "y"), "seed", "node"))
     assert got[0] == got[1] == got[2] and len(got[0]) > 70
+    together = traverse.reach(edges, seeds.selectExpr("substr(s, 1, 1) as l", "s"), "x", "y", label="l")
+    assert rows(together, "seed", "node") == sorted({(a[0], b) for a, b in got[0]})
 
 
 def test_context_is_what_the_neighbours_do(spark):
